@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from followgraph.operators import skew
+from followgraph.operators import lineage, skew
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -85,14 +85,20 @@ def adjacency(
     row or task holds an unbounded list; everyone else has one row with
     ``part = 0``.  ``outDegree`` is the user's total over all parts.
     """
-    counts = edges.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("t")).first()["t"] or 0
-    hot = skew.hot_keys(counts, "source", "n", skew.hot_threshold(total, min_rows, max_keys))
+    counts, m = lineage.materialize(
+        edges.groupBy("source").agg(F.count(F.lit(1)).alias("n")), total=F.sum("n")
+    )
+    total = int(m["total"] or 0)
+    hot = skew.collect_hot(counts, "source", "n", skew.hot_threshold(total, min_rows, max_keys))
     parts = (
         skew.add_salt(edges.select("source", "destination"), "source", "destination", hot)
         .groupBy("source", "salt")
         .agg(F.collect_list("destination").alias("followees"), F.count(F.lit(1)).alias("n"))
     )
+    if hot is None:
+        return parts.select(
+            F.col("source").alias("userId"), F.col("salt").alias("part"), "followees", F.col("n").alias("outDegree")
+        )
     return parts.join(F.broadcast(hot), F.col("source") == F.col("hot_key"), "left").select(
         F.col("source").alias("userId"),
         F.col("salt").alias("part"),

@@ -43,7 +43,7 @@ class RankSumError(ValueError):
 class LinkGraph:
     verts: DataFrame
     links: DataFrame
-    hot: DataFrame
+    hot: DataFrame | None
     n: int
     n_dangling: int
     n_edges: int
@@ -78,7 +78,7 @@ def prepare(
     )
     n, n_dangling, n_edges = int(m["n"]), int(m["dangling"]), int(m["edges"] or 0)
     threshold = skew.hot_threshold(n_edges, min_rows, max_keys)
-    hot, _ = lineage.materialize(skew.hot_keys(verts, "userId", "out_degree", threshold))
+    hot = skew.collect_hot(verts, "userId", "out_degree", threshold)
     links_df = (
         skew.add_salt(edges, "source", "destination", hot)
         .repartition(buckets, "source", "salt")

@@ -74,7 +74,7 @@ def initial_state(
 @dataclass
 class TopicLinks:
     links: DataFrame
-    hot: DataFrame
+    hot: DataFrame | None
     buckets: int
     tables: tuple[str, ...] = ()
 
@@ -94,7 +94,7 @@ def prepare(
     dedup = edges.select("source", "destination").distinct()
     degrees, m = lineage.materialize(vertices(dedup), total=F.sum("out_degree"))
     threshold = skew.hot_threshold(int(m["total"] or 0), min_rows, max_keys)
-    hot_src, _ = lineage.materialize(skew.hot_keys(degrees, "userId", "out_degree", threshold))
+    hot_src = skew.collect_hot(degrees, "userId", "out_degree", threshold)
     pairs = state.where(F.col("interested")).select("userId", "topic")
 
     by_source = skew.add_salt(dedup, "source", "destination", hot_src).join(
@@ -102,7 +102,7 @@ def prepare(
         ["source", "salt"],
     )
     if not all_receivers:
-        hot_dst, _ = lineage.materialize(skew.hot_keys(degrees, "userId", "in_degree", threshold))
+        hot_dst = skew.collect_hot(degrees, "userId", "in_degree", threshold)
         by_source = by_source.withColumnRenamed("salt", "src_salt")
         by_source = skew.add_salt(by_source, "destination", "source", hot_dst).join(
             skew.replicate(pairs.withColumnRenamed("userId", "destination"), "destination", hot_dst),

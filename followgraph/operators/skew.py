@@ -35,8 +35,11 @@ def hot_keys(counts: DataFrame, key: str, count: str, threshold: int) -> DataFra
     )
 
 
-def add_salt(df: DataFrame, key: str, spread: str, hot: DataFrame) -> DataFrame:
-    """Large side: ``salt = pmod(xxhash64(spread), n_salt)`` on hot keys, else 0."""
+def add_salt(df: DataFrame, key: str, spread: str, hot: DataFrame | None) -> DataFrame:
+    """Large side: ``salt = pmod(xxhash64(spread), n_salt)`` on hot keys, else 0.
+    ``hot=None`` means no key is hot: every salt is 0 and nothing is joined."""
+    if hot is None:
+        return df.select(*[F.col(c) for c in df.columns], F.lit(0).alias("salt"))
     joined = df.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left")
     salt = F.when(F.col("n_salt").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(F.col(spread)), F.col("n_salt")).cast("int")
@@ -44,8 +47,19 @@ def add_salt(df: DataFrame, key: str, spread: str, hot: DataFrame) -> DataFrame:
     return joined.select(*[F.col(c) for c in df.columns], salt.alias("salt"))
 
 
-def replicate(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def replicate(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Keyed side: one copy per salt of each hot key, salt 0 for the rest."""
+    if hot is None:
+        return df.select(*[F.col(c) for c in df.columns], F.lit(0).alias("salt"))
     joined = df.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left")
     salts = F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - F.lit(1))
     return joined.select(*[F.col(c) for c in df.columns], F.explode(salts).alias("salt"))
+
+
+def collect_hot(counts: DataFrame, key: str, count: str, threshold: int) -> DataFrame | None:
+    """Materialize the hot keys (a bounded table) and return ``None`` when
+    there are none, so callers skip the salting join altogether."""
+    from followgraph.operators import lineage
+
+    hot, m = lineage.materialize(hot_keys(counts, key, count, threshold), n=F.count(F.lit(1)))
+    return hot if int(m["n"]) > 0 else None

@@ -1,6 +1,9 @@
+import random
+
 import pytest
 
 from followgraph.operators import pagerank as pr
+from tests import brute
 from tests.conftest import GOLDEN_EDGES, edges_df
 
 # Expected ranks of the 4-user golden graph, k = 10, d = 0.85.
@@ -20,7 +23,77 @@ def test_golden_ranks(spark):
         assert got[u] == pytest.approx(r, abs=1e-6)
 
 
-def test_one_round(spark):
+def test_one_round_and_zero_rounds(spark):
     got = ranks_of(pr.pagerank(edges_df(spark, GOLDEN_EDGES), 1, 0.85))
     for u, r in K1_RANKS.items():
         assert got[u] == pytest.approx(r, abs=1e-9)
+    assert ranks_of(pr.pagerank(edges_df(spark, GOLDEN_EDGES), 0)) == {u: 0.25 for u in range(4)}
+    ten = ranks_of(pr.pagerank(edges_df(spark, GOLDEN_EDGES), 10))
+    assert any(abs(ten[u] - got[u]) > 1e-6 for u in ten)
+
+
+def test_no_dangling(spark):
+    got = ranks_of(pr.pagerank(edges_df(spark, [(0, 2), (1, 0), (1, 2), (2, 1)])))
+    assert sum(got.values()) == pytest.approx(1.0, abs=1e-10)
+    assert all(r > 0 for r in got.values())
+
+
+def test_two_cycle(spark):
+    got = ranks_of(pr.pagerank(edges_df(spark, [(0, 1), (1, 0)])))
+    assert got == {0: pytest.approx(0.5), 1: pytest.approx(0.5)}
+
+
+def test_multi_edge_weight(spark):
+    edges = [(0, 1), (0, 1), (0, 2)]
+    got = ranks_of(pr.pagerank(edges_df(spark, edges), 1))
+    exp = brute.pagerank(edges, 1)
+    for u in exp:
+        assert got[u] == pytest.approx(exp[u], abs=1e-12)
+    # user 1 receives 2/3 of user 0's rank, user 2 one third
+    base = (1 - 0.85) / 3 + 0.85 * (2 / 3) / 3
+    assert got[1] - base == pytest.approx(0.85 * (1 / 3) * (2 / 3), abs=1e-12)
+
+
+def test_all_dangling_but_one(spark):
+    got = ranks_of(pr.pagerank(edges_df(spark, [(0, 1), (0, 2)])))
+    assert sum(got.values()) == pytest.approx(1.0, abs=1e-10)
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_random_graphs(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(30), rng.randrange(30)) for _ in range(80)]
+    got = ranks_of(pr.pagerank(edges_df(spark, edges), 10))
+    exp = brute.pagerank(edges, 10)
+    assert set(got) == set(exp)
+    for u in exp:
+        assert got[u] == pytest.approx(exp[u], abs=1e-12)
+
+
+def test_hot_sources_are_split(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(30), rng.randrange(30)) for _ in range(60)]
+    edges += [(0, u) for u in range(30)] * 2 + [(u, 1) for u in range(30)]
+    g = pr.prepare(edges_df(spark, edges), min_rows=4, max_keys=1000)
+    assert g.hot is not None and g.hot.count() >= 1
+    assert g.links.where("salt > 0").count() > 0
+    ranks, sums = pr.run(g, 10)
+    got = {r["userId"]: r["rank"] for r in ranks.collect()}
+    exp = brute.pagerank(edges, 10)
+    for u in exp:
+        assert got[u] == pytest.approx(exp[u], abs=1e-12)
+    assert len(sums) == 10 and all(abs(s - 1) < 1e-10 for s in sums)
+
+
+def test_rank_sum_check():
+    pr.check_rank_sum(1.0 + 1e-12, 1)
+    pr.check_rank_sum(1.0 + 1e-8, 1)  # warns only
+    with pytest.raises(pr.RankSumError):
+        pr.check_rank_sum(1.01, 3)
+
+
+def test_top_ranked_orders_itself(spark):
+    ranks = pr.pagerank(edges_df(spark, GOLDEN_EDGES))
+    top = pr.top_ranked(ranks.orderBy("rank"), 2).collect()
+    assert [r["userId"] for r in top] == [3, 2]
+    assert len(pr.top_ranked(ranks, 100).collect()) == 4
