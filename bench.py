@@ -27,6 +27,7 @@ def session(cpus: int, scratch: str):
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("followgraph-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")

@@ -3,16 +3,18 @@
 Layout, prepared once (:func:`prepare`):
 
 * ``verts``: ``userId, out_degree``, bucketed by ``userId``;
-* ``links``: ``source, salt, destination, w`` (``w`` = multiplicity of
-  the edge), bucketed by ``(source, salt)``;
+* ``links``: ``source, [salt,] destination, w`` (``w`` = multiplicity of
+  the edge), bucketed by ``source`` -- or by ``(source, salt)`` when some
+  source is hot;
 * ``hot``: sources above the hot-key threshold with their salt counts
-  (bounded, broadcast).
+  (bounded, broadcast), or ``None``.
 
 A round then moves only the rank side and pre-aggregated contributions:
 each sender's ``rank / out_degree`` is shuffled to the links' buckets
-(copied once per salt for hot sources), joined in place, multiplied by
-``w``, partially summed per receiver, shuffled by receiver and joined to
-``verts`` in place.  The round is written as a reliable checkpoint whose
+(copied once per salt for hot sources) and is the build side of a hash
+join that streams the links in place, with no sort; contributions
+(``share * w``) are partially summed per receiver, shuffled by receiver
+and joined to ``verts`` in place.  The round is written as a reliable checkpoint whose
 job also observes the rank sum and the dangling mass for the next round.
 """
 
@@ -44,9 +46,11 @@ class LinkGraph:
     verts: DataFrame
     links: DataFrame
     hot: DataFrame | None
+    keys: tuple[str, ...]
     n: int
     n_dangling: int
     n_edges: int
+    buckets: int
     tables: tuple[str, ...] = ()
 
     def release(self) -> None:
@@ -79,16 +83,17 @@ def prepare(
     n, n_dangling, n_edges = int(m["n"]), int(m["dangling"]), int(m["edges"] or 0)
     threshold = skew.hot_threshold(n_edges, min_rows, max_keys)
     hot = skew.collect_hot(verts, "userId", "out_degree", threshold)
+    # Bucket on the exact join keys: a constant salt would be folded away
+    # by the optimizer and the bucketing could no longer be used.
+    keys = ("source",) if hot is None else ("source", "salt")
+    salted = edges if hot is None else skew.add_salt(edges, "source", "destination", hot)
     links_df = (
-        skew.add_salt(edges, "source", "destination", hot)
-        .repartition(buckets, "source", "salt")
-        .groupBy("source", "salt", "destination")
+        salted.repartition(buckets, *keys)
+        .groupBy(*keys, "destination")
         .agg(F.count(F.lit(1)).alias("w"))
     )
-    links, _, lname = lineage.write_table(
-        links_df, "links", ["source", "salt"], buckets, sort_cols=["source", "salt"]
-    )
-    return LinkGraph(verts, links, hot, n, n_dangling, n_edges, (vname, lname))
+    links, _, lname = lineage.write_table(links_df, "links", list(keys), buckets, sort_cols=list(keys))
+    return LinkGraph(verts, links, hot, keys, n, n_dangling, n_edges, buckets, (vname, lname))
 
 
 def initial_ranks(g: LinkGraph) -> DataFrame:
@@ -102,9 +107,10 @@ def contributions(ranks: DataFrame, g: LinkGraph) -> DataFrame:
     senders = ranks.where(F.col("out_degree") > 0).select(
         F.col("userId").alias("source"), (F.col("rank") / F.col("out_degree")).alias("share")
     )
-    senders = skew.replicate(senders, "source", g.hot)
+    if g.hot is not None:
+        senders = skew.replicate(senders, "source", g.hot)
     return (
-        g.links.join(senders, ["source", "salt"])
+        g.links.join(senders.hint("shuffle_hash"), list(g.keys))
         .select(F.col("destination").alias("userId"), (F.col("share") * F.col("w")).alias("c"))
         .groupBy("userId")
         .agg(F.sum("c").alias("received"))
@@ -123,7 +129,7 @@ def dangling_mass(ranks: DataFrame) -> DataFrame:
 def step(ranks: DataFrame, g: LinkGraph, mass: float, damping: float) -> DataFrame:
     """P5: one round for every user (lazy)."""
     received = contributions(ranks, g)
-    return g.verts.join(received, "userId", "left").select(
+    return g.verts.join(received.hint("shuffle_hash"), "userId", "left").select(
         "userId", "out_degree", rank_update(F.col("received"), mass, g.n, damping).alias("rank")
     )
 
@@ -141,16 +147,26 @@ def run(
     g: LinkGraph, iterations: int = 10, damping: float = 0.85, validate: bool = True
 ) -> tuple[DataFrame, list[float]]:
     """Exactly ``iterations`` rounds from ``1/N``.  Returns the last ranks
-    (``userId, out_degree, rank``) and the rank sum after each round."""
+    (``userId, out_degree, rank``) and the rank sum after each round.
+
+    Each round is written as a table bucketed by ``userId`` like ``verts``,
+    so the next round's senders are already laid out like the links."""
+    spark = g.verts.sparkSession
     ranks = initial_ranks(g)
     mass = g.n_dangling / g.n
     sums: list[float] = []
+    previous = None
     for r in range(1, iterations + 1):
-        ranks, m = lineage.materialize(
+        ranks, m, name = lineage.write_table(
             step(ranks, g, mass, damping),
+            "ranks",
+            ["userId"],
+            g.buckets,
             total=F.sum("rank"),
             mass=F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0)),
         )
+        lineage.drop_table(spark, previous)
+        previous = name
         sums.append(float(m["total"]))
         if validate:
             check_rank_sum(m["total"], r)

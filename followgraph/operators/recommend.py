@@ -75,6 +75,7 @@ def initial_state(
 class TopicLinks:
     links: DataFrame
     hot: DataFrame | None
+    keys: tuple[str, ...]
     buckets: int
     tables: tuple[str, ...] = ()
 
@@ -88,7 +89,8 @@ def prepare(
     max_keys: int = skew.HOT_MAX_KEYS,
 ) -> TopicLinks:
     """Distinct edges per topic the follower is interested in (and, unless
-    ``all_receivers``, the followee too), bucketed by ``(source, topic, salt)``."""
+    ``all_receivers``, the followee too), bucketed by ``(source, topic)``,
+    or ``(source, topic, salt)`` when some source is hot."""
     spark = edges.sparkSession
     buckets = buckets or lineage.shuffle_partitions(spark)
     dedup = edges.select("source", "destination").distinct()
@@ -109,14 +111,13 @@ def prepare(
             ["destination", "topic", "salt"],
             "left_semi",
         ).select("source", "topic", F.col("src_salt").alias("salt"), "destination")
+    # Bucket on the exact join keys: with no hot source the salt is the
+    # constant 0, which the optimizer folds away from the join.
+    keys = ("source", "topic") if hot_src is None else ("source", "topic", "salt")
     links, _, name = lineage.write_table(
-        by_source.select("source", "topic", "salt", "destination"),
-        "toplinks",
-        ["source", "topic", "salt"],
-        buckets,
-        sort_cols=["source", "topic", "salt"],
+        by_source.select(*keys, "destination"), "toplinks", list(keys), buckets, sort_cols=list(keys)
     )
-    return TopicLinks(links, hot_src, buckets, (name,))
+    return TopicLinks(links, hot_src, keys, buckets, (name,))
 
 
 def best_offers(senders: DataFrame, tl: TopicLinks) -> DataFrame:
@@ -125,8 +126,9 @@ def best_offers(senders: DataFrame, tl: TopicLinks) -> DataFrame:
     s = senders.where(F.col("interested")).select(
         F.col("userId").alias("source"), "topic", "max_freq", "max_user"
     )
-    s = skew.replicate(s, "source", tl.hot)
-    offers = tl.links.join(s, ["source", "topic", "salt"]).select(
+    if tl.hot is not None:
+        s = skew.replicate(s, "source", tl.hot)
+    offers = tl.links.join(s.hint("shuffle_hash"), list(tl.keys)).select(
         F.col("destination").alias("userId"), "topic", offer(F.col("max_freq"), F.col("max_user")).alias("o")
     )
     return offers.groupBy("userId", "topic").agg(F.max("o").alias("best")).select(
@@ -137,7 +139,7 @@ def best_offers(senders: DataFrame, tl: TopicLinks) -> DataFrame:
 def update(state: DataFrame, best: DataFrame) -> DataFrame:
     """Take the offer only when strictly better; ``improved`` marks it."""
     imp = F.coalesce(F.col("offer_freq") > F.col("max_freq"), F.lit(False))
-    return state.join(best, ["userId", "topic"], "left").select(
+    return state.join(best.hint("shuffle_hash"), ["userId", "topic"], "left").select(
         "userId",
         "topic",
         "freq",
