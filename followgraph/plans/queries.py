@@ -213,7 +213,7 @@ def q_parquet_roundtrip(spark, sf):
     return spark.read.parquet(path)
 
 
-QUERIES = {
+_PLANS = {
     "graph_stats": q_graph_stats,
     "all_users": q_all_users,
     "follower_counts": q_follower_counts,
@@ -237,3 +237,18 @@ QUERIES = {
     "load_topics": q_load_topics,
     "parquet_roundtrip": q_parquet_roundtrip,
 }
+
+
+def _with_scratch(fn):
+    """Every query may checkpoint: make sure the session has a folder first."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        scratch_dir(spark)
+        return fn(spark, sf)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {name: _with_scratch(fn) for name, fn in _PLANS.items()}

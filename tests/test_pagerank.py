@@ -97,3 +97,18 @@ def test_top_ranked_orders_itself(spark):
     top = pr.top_ranked(ranks.orderBy("rank"), 2).collect()
     assert [r["userId"] for r in top] == [3, 2]
     assert len(pr.top_ranked(ranks, 100).collect()) == 4
+
+
+def test_corrupted_ranks_raise(spark):
+    g = pr.prepare(edges_df(spark, GOLDEN_EDGES))
+    g.n += 3  # ranks now start at 1/7 for 4 users: the sum is off
+    with pytest.raises(pr.RankSumError):
+        pr.run(g, 2)
+
+
+def test_self_loop_rank(spark):
+    edges = [(0, 0), (0, 1), (1, 2)]
+    got = ranks_of(pr.pagerank(edges_df(spark, edges), 10))
+    exp = brute.pagerank(edges, 10)
+    for u in exp:
+        assert got[u] == pytest.approx(exp[u], abs=1e-12)
