@@ -112,3 +112,23 @@ def test_self_loop_rank(spark):
     exp = brute.pagerank(edges, 10)
     for u in exp:
         assert got[u] == pytest.approx(exp[u], abs=1e-12)
+
+
+def test_third_of_edges_in_one_source_is_spread(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    # 200 ordinary edges plus 100 edges out of user 0: a third of the table
+    edges = [(rng.randrange(1, 60), rng.randrange(60)) for _ in range(200)]
+    edges += [(0, u) for u in range(100)]
+    g = pr.prepare(edges_df(spark, edges), min_rows=16, max_keys=1000)
+    hot = {r["hot_key"]: r["n_salt"] for r in g.hot.collect()}
+    assert hot[0] >= 2
+    groups = g.links.where("source = 0").groupBy("salt").agg(F.count("*").alias("n")).collect()
+    assert len(groups) > 1 and max(r["n"] for r in groups) < 100
+    ranks, _ = pr.run(g, 10)
+    got = {r["userId"]: r["rank"] for r in ranks.collect()}
+    exp = brute.pagerank(edges, 10)
+    assert set(got) == set(exp)
+    for u in exp:
+        assert got[u] == pytest.approx(exp[u], abs=1e-12)
