@@ -89,36 +89,42 @@ def dangling_users(edges: DataFrame) -> DataFrame:
     return vertices(edges).where(F.col("out_degree") == 0).select("userId")
 
 
+ADJ_MAX_LIST = 1 << 16
+
+
 def adjacency(
     edges: DataFrame,
+    max_list: int = ADJ_MAX_LIST,
     min_rows: int = skew.HOT_MIN_ROWS,
     max_keys: int = skew.HOT_MAX_KEYS,
 ) -> DataFrame:
     """Followee lists: ``userId, part, followees, outDegree``.
 
-    ``followees`` keeps repeated edges.  A user whose out-degree exceeds
-    the hot-key threshold (see :mod:`followgraph.operators.skew`) gets its
-    list in ``n_salt`` parts split by a hash of the followee, so no single
-    row or task holds an unbounded list; everyone else has one row with
-    ``part = 0``.  ``outDegree`` is the user's total over all parts.
+    ``followees`` keeps repeated edges.  Every edge first learns its
+    source's out-degree ``n`` (a join that is salted for hot sources, see
+    :mod:`followgraph.operators.skew`); a list longer than ``max_list`` is
+    then cut into ``ceil(n / max_list)`` parts by a hash of the followee,
+    so no row holds more than about ``max_list`` entries and no task a
+    whole hot list.  Other users have one row with ``part = 0``.
+    ``outDegree`` is the user's total over all parts.
     """
+    e = edges.select("source", "destination")
     counts, m = lineage.materialize(
-        edges.groupBy("source").agg(F.count(F.lit(1)).alias("n")), total=F.sum("n")
+        e.groupBy("source").agg(F.count(F.lit(1)).alias("n")), total=F.sum("n")
     )
-    total = int(m["total"] or 0)
-    hot = skew.collect_hot(counts, "source", "n", skew.hot_threshold(total, min_rows, max_keys))
-    parts = (
-        skew.add_salt(edges.select("source", "destination"), "source", "destination", hot)
-        .groupBy("source", "salt")
-        .agg(F.collect_list("destination").alias("followees"), F.count(F.lit(1)).alias("n"))
+    hot = skew.collect_hot(
+        counts, "source", "n", skew.hot_threshold(int(m["total"] or 0), min_rows, max_keys)
     )
     if hot is None:
-        return parts.select(
-            F.col("source").alias("userId"), F.col("salt").alias("part"), "followees", F.col("n").alias("outDegree")
+        sized = e.join(counts, "source")
+    else:
+        sized = skew.add_salt(e, "source", "destination", hot).join(
+            skew.replicate(counts, "source", hot), ["source", "salt"]
         )
-    return parts.join(F.broadcast(hot), F.col("source") == F.col("hot_key"), "left").select(
-        F.col("source").alias("userId"),
-        F.col("salt").alias("part"),
-        "followees",
-        F.coalesce(F.col("hot_rows"), F.col("n")).alias("outDegree"),
+    n_parts = F.ceil(F.col("n") / F.lit(max_list))
+    part = F.when(F.col("n") > F.lit(max_list), F.pmod(F.xxhash64("destination"), n_parts)).otherwise(0)
+    return (
+        sized.groupBy("source", part.cast("int").alias("part"))
+        .agg(F.collect_list("destination").alias("followees"), F.max("n").alias("outDegree"))
+        .select(F.col("source").alias("userId"), "part", "followees", "outDegree")
     )

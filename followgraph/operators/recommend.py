@@ -166,12 +166,13 @@ def propagate(
     """
     if not all_receivers:
         state = state.where(F.col("interested"))
-    tl = prepare(edges, state, all_receivers, buckets, min_rows, max_keys)
     spark = edges.sparkSession
+    buckets = buckets or lineage.shuffle_partitions(spark)
     cols = ["userId", "topic", "freq", "interested", "max_freq", "max_user"]
     current, _, name = lineage.write_table(
-        state.select(*cols, F.lit(True).alias("improved")), "state", ["userId", "topic"], tl.buckets
+        state.select(*cols, F.lit(True).alias("improved")), "state", ["userId", "topic"], buckets
     )
+    tl = prepare(edges, current, all_receivers, buckets, min_rows, max_keys)
     names = list(tl.tables)
     for _ in range(iterations):
         frontier = current.where(F.col("improved"))

@@ -48,10 +48,20 @@ def test_adjacency_keeps_repeats(spark):
 
 def test_adjacency_splits_hot_lists(spark):
     pairs = [(0, u) for u in range(1, 41)] + [(0, 3), (1, 2), (2, 0)]
-    rows = graph.adjacency(edges_df(spark, pairs), min_rows=8, max_keys=100).collect()
+    rows = graph.adjacency(edges_df(spark, pairs), max_list=8).collect()
     zero = [r for r in rows if r["userId"] == 0]
     assert len(zero) > 1
     assert all(r["outDegree"] == 41 for r in zero)
     merged = sorted(x for r in zero for x in r["followees"])
     assert merged == sorted([u for u in range(1, 41)] + [3])
     assert all(len(r["followees"]) < 41 for r in zero)
+
+
+def test_adjacency_with_hot_join(spark):
+    pairs = [(0, u) for u in range(1, 41)] + [(1, 2), (2, 0)]
+    rows = graph.adjacency(edges_df(spark, pairs), max_list=16, min_rows=4, max_keys=100).collect()
+    zero = [r for r in rows if r["userId"] == 0]
+    assert len(zero) == 3 and all(r["outDegree"] == 40 for r in zero)
+    assert sorted(x for r in zero for x in r["followees"]) == list(range(1, 41))
+    others = {r["userId"]: (r["part"], r["followees"], r["outDegree"]) for r in rows if r["userId"] != 0}
+    assert others == {1: (0, [2], 1), 2: (0, [0], 1)}
