@@ -2,7 +2,7 @@
 
 The iterative ones are chains of ``AS MATERIALIZED`` common table
 expressions built by string formatting: one CTE per round, each reading
-only the round before.  They follow the reference semantics literally
+only the round before.  They follow the specified semantics literally
 (full state, every receiver, per-edge contributions), so they also check
 the shortcuts the Spark plans take.
 """
