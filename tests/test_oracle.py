@@ -16,7 +16,7 @@ def test_all_queries_match_duckdb(spark):
     bad = {k: v for k, v in report.items() if not v["ok"]}
     assert not bad, bad
     assert report["pagerank"]["rows"][0] == 196
-    assert report["edges" if "edges" in report else "parquet_roundtrip"]["rows"][0] == 590
+    assert report["parquet_roundtrip"]["rows"][0] == 590
 
 
 def test_entry_smoke(spark):
