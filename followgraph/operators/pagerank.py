@@ -152,6 +152,8 @@ def run(
     Each round is written as a table bucketed by ``userId`` like ``verts``,
     so the next round's senders are already laid out like the links."""
     spark = g.verts.sparkSession
+    if g.n == 0:  # no edges, no users: nothing to rank
+        return g.verts.select("userId", "out_degree", F.lit(0.0).alias("rank")), []
     ranks = initial_ranks(g)
     mass = g.n_dangling / g.n
     sums: list[float] = []
@@ -187,7 +189,10 @@ def pagerank(
     convergence stop).  Unsorted; sort with :func:`ranked` when needed."""
     g = prepare(edges, buckets, min_rows, max_keys)
     ranks, _ = run(g, iterations, damping, validate)
-    return ranks.select("userId", "rank")
+    out = ranks.select("userId", "rank")
+    if iterations > 0 and g.n > 0:
+        g.release()  # the result reads its own round table, not these
+    return out
 
 
 def ranked(ranks: DataFrame) -> DataFrame:

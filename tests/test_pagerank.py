@@ -132,3 +132,7 @@ def test_third_of_edges_in_one_source_is_spread(spark):
     assert set(got) == set(exp)
     for u in exp:
         assert got[u] == pytest.approx(exp[u], abs=1e-12)
+
+
+def test_empty_graph(spark):
+    assert pr.pagerank(edges_df(spark, []), 10).collect() == []

@@ -104,3 +104,7 @@ def test_full_state_matches_brute_after_one_round(spark):
     assert len(rows) == 12
     # user 3 is not interested in games but stores the best offer it received
     assert rows[(3, "games")] == (pytest.approx(5.3), 1)
+
+
+def test_empty_graph(spark):
+    assert recs(spark, [], GOLDEN_TOPICS) == {}
