@@ -65,7 +65,9 @@ def prepare(
     min_rows: int = skew.HOT_MIN_ROWS,
     max_keys: int = skew.HOT_MAX_KEYS,
 ) -> LinkGraph:
-    """Write the vertex and link tables (two jobs over the edges)."""
+    """Write the vertex and link tables: two jobs, each reading ``edges``
+    once.  An edge source that is expensive to compute (a join, say) is
+    best written out first."""
     spark = edges.sparkSession
     buckets = buckets or lineage.shuffle_partitions(spark)
     edges = edges.select("source", "destination").where(
