@@ -112,9 +112,8 @@ def adjacency(
     counts, m = lineage.materialize(
         e.groupBy("source").agg(F.count(F.lit(1)).alias("n")), total=F.sum("n")
     )
-    hot = skew.collect_hot(
-        counts, "source", "n", skew.hot_threshold(int(m["total"] or 0), min_rows, max_keys)
-    )
+    total = int(m["total"] or 0)
+    hot = skew.collect_hot(counts, "source", "n", skew.hot_threshold(total, min_rows, max_keys), total)
     if hot is None:
         sized = e.join(counts, "source")
     else:

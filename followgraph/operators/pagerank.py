@@ -84,7 +84,7 @@ def prepare(
     )
     n, n_dangling, n_edges = int(m["n"]), int(m["dangling"]), int(m["edges"] or 0)
     threshold = skew.hot_threshold(n_edges, min_rows, max_keys)
-    hot = skew.collect_hot(verts, "userId", "out_degree", threshold)
+    hot = skew.collect_hot(verts, "userId", "out_degree", threshold, n_edges)
     # Bucket on the exact join keys: a constant salt would be folded away
     # by the optimizer and the bucketing could no longer be used.
     keys = ("source",) if hot is None else ("source", "salt")

@@ -95,8 +95,9 @@ def prepare(
     buckets = buckets or lineage.shuffle_partitions(spark)
     dedup = edges.select("source", "destination").distinct()
     degrees, m = lineage.materialize(vertices(dedup), total=F.sum("out_degree"))
-    threshold = skew.hot_threshold(int(m["total"] or 0), min_rows, max_keys)
-    hot_src = skew.collect_hot(degrees, "userId", "out_degree", threshold)
+    total = int(m["total"] or 0)
+    threshold = skew.hot_threshold(total, min_rows, max_keys)
+    hot_src = skew.collect_hot(degrees, "userId", "out_degree", threshold, total)
     pairs = state.where(F.col("interested")).select("userId", "topic")
 
     by_source = skew.add_salt(dedup, "source", "destination", hot_src).join(
@@ -104,7 +105,7 @@ def prepare(
         ["source", "salt"],
     )
     if not all_receivers:
-        hot_dst = skew.collect_hot(degrees, "userId", "in_degree", threshold)
+        hot_dst = skew.collect_hot(degrees, "userId", "in_degree", threshold, total)
         by_source = by_source.withColumnRenamed("salt", "src_salt")
         by_source = skew.add_salt(by_source, "destination", "source", hot_dst).join(
             skew.replicate(pairs.withColumnRenamed("userId", "destination"), "destination", hot_dst),

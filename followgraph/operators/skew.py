@@ -56,10 +56,17 @@ def replicate(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     return joined.select(*[F.col(c) for c in df.columns], F.explode(salts).alias("salt"))
 
 
-def collect_hot(counts: DataFrame, key: str, count: str, threshold: int) -> DataFrame | None:
+def collect_hot(
+    counts: DataFrame, key: str, count: str, threshold: int, total: int | None = None
+) -> DataFrame | None:
     """Materialize the hot keys (a bounded table) and return ``None`` when
-    there are none, so callers skip the salting join altogether."""
+    there are none, so callers skip the salting join altogether.  With
+    ``total`` (rows over all keys) at or below the threshold no key can be
+    hot and no job runs."""
     from followgraph.operators import lineage
 
+    if total is not None and total <= threshold:
+        return None
+
     hot, m = lineage.materialize(hot_keys(counts, key, count, threshold), n=F.count(F.lit(1)))
     return hot if int(m["n"]) > 0 else None
