@@ -74,13 +74,16 @@ def write_table(
     spark = df.sparkSession
     name = f"fg_{prefix}_{uuid.uuid4().hex[:12]}"
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
-    obs = Observation() if metrics else None
-    if obs is not None:
-        df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     # One task per bucket, so one file per bucket.  When ``df`` is already
     # hash-partitioned this way (the usual case) the planner drops the
     # exchange; otherwise it keeps tasks from writing a file per bucket each.
     df = df.repartition(buckets, *bucket_cols)
+    # Observed after the exchange: the metrics are then taken in the write's
+    # result stage, whose tasks count once even when a lost executor makes
+    # Spark recompute earlier stages.
+    obs = Observation() if metrics else None
+    if obs is not None:
+        df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     writer = df.write.mode("overwrite").option("path", path).bucketBy(buckets, *bucket_cols)
     if sort_cols:
         writer = writer.sortBy(*sort_cols)
