@@ -36,7 +36,6 @@ def session(cpus: int, scratch: str):
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
         .getOrCreate()
     )
 
