@@ -104,3 +104,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return max(1, int(value))
     except ValueError:  # "auto" on some platforms
         return max(1, spark.sparkContext.defaultParallelism)
+
+
+ROWS_PER_BUCKET = 4 << 20
+
+
+def bucket_count(spark: SparkSession, rows: int) -> int:
+    """Buckets for a table layout of ``rows`` rows: about ``ROWS_PER_BUCKET``
+    rows each, at least the cluster's parallelism, at most
+    ``spark.sql.shuffle.partitions``.  Bucketed scans are never coalesced
+    by AQE, so small data must not get thousands of buckets."""
+    cap = shuffle_partitions(spark)
+    floor = min(cap, max(1, spark.sparkContext.defaultParallelism))
+    return max(floor, min(cap, -(-int(rows) // ROWS_PER_BUCKET)))

@@ -2,20 +2,22 @@
 
 Layout, prepared once (:func:`prepare`):
 
-* ``verts``: ``userId, out_degree``, bucketed by ``userId``;
+* ``verts``: ``userId, out_degree`` for every user (a checkpoint whose
+  job also counts users, dangling users and edges);
 * ``links``: ``source, [salt,] destination, w`` (``w`` = multiplicity of
   the edge), bucketed by ``source`` -- or by ``(source, salt)`` when some
-  source is hot;
+  source is hot -- into a bucket count sized from the edge count;
 * ``hot``: sources above the hot-key threshold with their salt counts
   (bounded, broadcast), or ``None``.
 
-A round then moves only the rank side and pre-aggregated contributions:
-each sender's ``rank / out_degree`` is shuffled to the links' buckets
-(copied once per salt for hot sources) and is the build side of a hash
-join that streams the links in place, with no sort; contributions
-(``share * w``) are partially summed per receiver, shuffled by receiver
-and joined to ``verts`` in place.  The round is written as a reliable checkpoint whose
-job also observes the rank sum and the dangling mass for the next round.
+Each round is written as a table bucketed by ``userId``: ``userId,
+out_degree, rank``.  The next round reads it twice in place, as senders
+(each sender's ``rank / out_degree`` is the build side of a hash join
+that streams the links, with no sort) and as the list of all users that
+the summed contributions are joined back to.  Only pre-aggregated
+contributions are shuffled; hot sources' senders are copied once per
+salt.  The write's job also observes the rank sum and the dangling mass
+for the next round.
 """
 
 from __future__ import annotations
@@ -69,20 +71,17 @@ def prepare(
     once.  An edge source that is expensive to compute (a join, say) is
     best written out first."""
     spark = edges.sparkSession
-    buckets = buckets or lineage.shuffle_partitions(spark)
     edges = edges.select("source", "destination").where(
         F.col("source").isNotNull() & F.col("destination").isNotNull()
     )
-    verts, m, vname = lineage.write_table(
+    verts, m = lineage.materialize(
         vertices(edges).select("userId", "out_degree"),
-        "verts",
-        ["userId"],
-        buckets,
         n=F.count(F.lit(1)),
         dangling=F.count_if(F.col("out_degree") == 0),
         edges=F.sum("out_degree"),
     )
     n, n_dangling, n_edges = int(m["n"]), int(m["dangling"]), int(m["edges"] or 0)
+    buckets = buckets or lineage.bucket_count(spark, n_edges)
     threshold = skew.hot_threshold(n_edges, min_rows, max_keys)
     hot = skew.collect_hot(verts, "userId", "out_degree", threshold, n_edges)
     # Bucket on the exact join keys: a constant salt would be folded away
@@ -95,7 +94,7 @@ def prepare(
         .agg(F.count(F.lit(1)).alias("w"))
     )
     links, _, lname = lineage.write_table(links_df, "links", list(keys), buckets, sort_cols=list(keys))
-    return LinkGraph(verts, links, hot, keys, n, n_dangling, n_edges, buckets, (vname, lname))
+    return LinkGraph(verts, links, hot, keys, n, n_dangling, n_edges, buckets, (lname,))
 
 
 def initial_ranks(g: LinkGraph) -> DataFrame:
@@ -129,9 +128,11 @@ def dangling_mass(ranks: DataFrame) -> DataFrame:
 
 
 def step(ranks: DataFrame, g: LinkGraph, mass: float, damping: float) -> DataFrame:
-    """P5: one round for every user (lazy)."""
+    """P5: one round for every user (lazy).  ``ranks`` holds every user, so
+    it is also the list the received sums are joined back to."""
     received = contributions(ranks, g)
-    return g.verts.join(received.hint("shuffle_hash"), "userId", "left").select(
+    users = ranks.select("userId", "out_degree")
+    return users.join(received.hint("shuffle_hash"), "userId", "left").select(
         "userId", "out_degree", rank_update(F.col("received"), mass, g.n, damping).alias("rank")
     )
 

@@ -80,6 +80,21 @@ class TopicLinks:
     tables: tuple[str, ...] = ()
 
 
+@dataclass
+class EdgeDegrees:
+    """Distinct edges (lazy), their per-user degrees (checkpointed) and count."""
+
+    dedup: DataFrame
+    degrees: DataFrame
+    total: int
+
+
+def edge_degrees(edges: DataFrame) -> EdgeDegrees:
+    dedup = edges.select("source", "destination").distinct()
+    degrees, m = lineage.materialize(vertices(dedup), total=F.sum("out_degree"))
+    return EdgeDegrees(dedup, degrees, int(m["total"] or 0))
+
+
 def prepare(
     edges: DataFrame,
     state: DataFrame,
@@ -87,15 +102,15 @@ def prepare(
     buckets: int | None = None,
     min_rows: int = skew.HOT_MIN_ROWS,
     max_keys: int = skew.HOT_MAX_KEYS,
+    ed: EdgeDegrees | None = None,
 ) -> TopicLinks:
     """Distinct edges per topic the follower is interested in (and, unless
     ``all_receivers``, the followee too), bucketed by ``(source, topic)``,
     or ``(source, topic, salt)`` when some source is hot."""
     spark = edges.sparkSession
-    buckets = buckets or lineage.shuffle_partitions(spark)
-    dedup = edges.select("source", "destination").distinct()
-    degrees, m = lineage.materialize(vertices(dedup), total=F.sum("out_degree"))
-    total = int(m["total"] or 0)
+    ed = ed or edge_degrees(edges)
+    dedup, degrees, total = ed.dedup, ed.degrees, ed.total
+    buckets = buckets or lineage.bucket_count(spark, total)
     threshold = skew.hot_threshold(total, min_rows, max_keys)
     hot_src = skew.collect_hot(degrees, "userId", "out_degree", threshold, total)
     pairs = state.where(F.col("interested")).select("userId", "topic")
@@ -168,12 +183,13 @@ def propagate(
     if not all_receivers:
         state = state.where(F.col("interested"))
     spark = edges.sparkSession
-    buckets = buckets or lineage.shuffle_partitions(spark)
+    ed = edge_degrees(edges)
+    buckets = buckets or lineage.bucket_count(spark, ed.total)
     cols = ["userId", "topic", "freq", "interested", "max_freq", "max_user"]
     current, _, name = lineage.write_table(
         state.select(*cols, F.lit(True).alias("improved")), "state", ["userId", "topic"], buckets
     )
-    tl = prepare(edges, current, all_receivers, buckets, min_rows, max_keys)
+    tl = prepare(edges, current, all_receivers, buckets, min_rows, max_keys, ed)
     names = list(tl.tables)
     for _ in range(iterations):
         frontier = current.where(F.col("improved"))
