@@ -1,6 +1,8 @@
 """Run registered queries against their DuckDB oracle, as the driver does.
 
     python -m tests.oracle_compare /root/testdata/sf0.01 [name ...]
+
+``FG_SHUFFLE_PARTITIONS`` sets the session's shuffle partitions (default 8).
 """
 
 from __future__ import annotations
@@ -83,8 +85,9 @@ if __name__ == "__main__":
     scratch = tempfile.mkdtemp(prefix="fg-cmp-")
     spark = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("FG_SHUFFLE_PARTITIONS", "8"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "wh"))
         .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
         .getOrCreate()
