@@ -1,11 +1,13 @@
 """Lineage truncation for the iterative operators.
 
-Each round is written as a reliable checkpoint to the folder the session
-names in ``spark.checkpoint.dir`` (a shared file system on a cluster), so
-a lost executor costs one round, never the whole chain, and the plan of
-round ``k`` does not contain rounds ``1..k-1``.  Scalars a later round
+Each round is written to the folder the session names in
+``spark.checkpoint.dir`` (a shared file system on a cluster): as a
+bucketed Parquet table (:func:`write_table`) when a later join should
+read it in place, else as a reliable checkpoint (:func:`materialize`).
+A lost executor then costs one round, never the whole chain, and the plan
+of round ``k`` does not contain rounds ``1..k-1``.  Scalars a later round
 needs (rank sum, dangling mass, changed rows) are collected by
-``observe`` on the same job that writes the checkpoint: one job a round.
+``observe`` on the same job that writes the round.
 """
 
 from __future__ import annotations

@@ -21,9 +21,10 @@ Two exact shortcuts keep rounds cheap:
   nothing improved, which gives the same result as running all of them.
 
 Links (distinct edges per shared topic) are written once, bucketed by
-``(source, topic, salt)``; the state is rewritten each round bucketed by
-``(userId, topic)``, so the update join reads it in place and only the
-improved rows and the pre-aggregated offers are shuffled.
+``(source, topic)`` -- ``(source, topic, salt)`` when a source is hot; the
+state is rewritten each round bucketed by ``(userId, topic)``, so the
+frontier join and the update join read it in place and, with no hot
+source, only the pre-aggregated offers are shuffled.
 """
 
 from __future__ import annotations
