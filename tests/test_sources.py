@@ -115,3 +115,11 @@ def test_parquet_sinks(spark, scratch_dir):
     parts = [f for f in os.listdir(p2) if f.startswith("part-")]
     assert len(parts) == 1 and parts[0].endswith(".snappy.parquet")
     assert spark.read.parquet(p2).count() == 3
+
+
+def test_input_size_and_fixed_partitions(spark, scratch_dir):
+    path = write_lines(scratch_dir, ["1\t2", "2\t3", "3\t4"])
+    assert text.input_size(spark, path) == len("1\t2\n2\t3\n3\t4\n")
+    assert text.input_size(spark, os.path.join(scratch_dir, "missing-" + uuid.uuid4().hex)) is None
+    df = text.read_edges(spark, path, partitions=3)
+    assert df.rdd.getNumPartitions() == 3 and df.count() == 3
