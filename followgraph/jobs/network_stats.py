@@ -10,8 +10,12 @@ rows, follower count = in-degree.
 
 from __future__ import annotations
 
+import os
 import sys
 
+if __package__ in (None, ""):  # run as a file by spark-submit: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 

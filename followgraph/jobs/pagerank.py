@@ -8,7 +8,11 @@ and ``<output>/top-<N>-ranked-users``.  Damping is fixed at 0.85.
 
 from __future__ import annotations
 
+import os
 import sys
+
+if __package__ in (None, ""):  # run as a file by spark-submit: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 import time
 
 from pyspark.sql import SparkSession
