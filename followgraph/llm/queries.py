@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import cnn, secret_scan, token_counts
+from followgraph.llm import cnn, minhash, secret_scan, token_counts
 
 TOKEN_LIMIT = 512
 QUALITY_LINE = 0.7
@@ -42,6 +42,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate documents: 3-word shingles, 85 percent."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=85)
+
+
 def tokenizer_file() -> str:
     """The vocabulary of the query, read on the driver."""
     import public_tokenizers
@@ -73,6 +78,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
+    "op5_minhash": op5_minhash,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
