@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import cnn, queries, scratch, secret_scan
+from followgraph.llm import cnn, decontaminate, minhash, mixing, queries, scratch, secret_scan
 
 QUALITY_LINE = 0.5
 
@@ -22,6 +22,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.withColumn("__score", cnn.score(docs, model)).where(F.col("__score") >= QUALITY_LINE).drop("__score")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (its smallest id, once);
+    documents without id cannot be grouped and stay."""
+    groups = minhash.near_duplicates(docs)
+    best = groups.where("kept and doc_id is not null").select("doc_id").distinct()
+    first = docs.join(best, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return first.unionByName(docs.where("doc_id is null"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    leaks = decontaminate.leaks(queries.table(spark, sf_dir, "benchmark"))
+    return docs.withColumn("__leaks", leaks).where(F.size("__leaks") == 0).drop("__leaks")
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark; ``n_chars`` follows the text."""
     found = docs.withColumn("__found", secret_scan.spans(spark))
@@ -29,7 +44,18 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
 
 
-STAGES = [("quality classifier", quality), ("secret scans", secrets)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents it takes at least once, with their copies and words taken."""
+    return mixing.mixed(docs).where("copies > 0")
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("near duplicates", near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("secret scans", secrets),
+    ("mixing sources", mix),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

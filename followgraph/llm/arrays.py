@@ -20,6 +20,9 @@ IS_WORD[list(SEPARATORS)] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+#: Letters, digits and every byte of a character beyond ASCII.
+IS_ALNUM = np.array([b > 127 or chr(b).isalnum() for b in range(256)])
+
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BYTE[list(SEPARATORS)] = 0
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -69,12 +72,14 @@ class Words:
     word of text ``t`` (``first`` has one entry more than there are texts).
     """
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    def __init__(self, texts: list[bytes], lower: bool = False, members: np.ndarray = IS_WORD):
+        """``members`` tells the bytes of words; the line feed is none of them."""
+        self.value = np.where(members, _BYTE, 0).astype(np.uint64)
         joined = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
         self.buf = LOWER[joined] if lower else joined
         self.text_len = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         self.text_start = np.concatenate(([0], np.cumsum(self.text_len + 1)))[:-1].astype(np.int64)
-        inside = IS_WORD[self.buf]
+        inside = members[self.buf]
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         if len(inside) and inside[0]:
             edge = np.concatenate(([0], edge))
@@ -94,7 +99,7 @@ class Words:
         gap = np.diff(np.append(self.start, len(self.buf)))
         place -= np.repeat(self.start, gap)
         weight = powers(int(gap.max()))
-        value = _BYTE[self.buf[self.start[0] :]] * weight[place]
+        value = self.value[self.buf[self.start[0] :]] * weight[place]
         return mix(np.add.reduceat(value, self.start - self.start[0]) + length.astype(np.uint64))
 
 

@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import cnn, minhash, secret_scan, token_counts
+from followgraph.llm import cnn, decontaminate, minhash, mixing, secret_scan, token_counts
 
 TOKEN_LIMIT = 512
 QUALITY_LINE = 0.7
@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds, with score and overlaps."""
+    found = decontaminate.leaks(table(spark, sf_dir, "benchmark"))
+    return table(spark, sf_dir, "documents").select("doc_id", found.alias("leaks")).select("doc_id", F.inline("leaks"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document; a null text has none."""
     found = table(spark, sf_dir, "documents").select("doc_id", secret_scan.spans(spark).alias("found"))
@@ -42,6 +48,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    found = mixing.mixed(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate documents: 3-word shingles, 85 percent."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=85)
@@ -77,7 +89,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_secret_scan": op2_secret_scan,
+    "op4_mixing": op4_mixing,
     "op5_minhash": op5_minhash,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
