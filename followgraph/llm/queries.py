@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import cnn, decontaminate, minhash, mixing, secret_scan, token_counts
+from followgraph.llm import cnn, decontaminate, minhash, mixing, perplexity, scratch, secret_scan, token_counts, warc
 
 TOKEN_LIMIT = 512
 QUALITY_LINE = 0.7
@@ -59,6 +59,18 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=85)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages below the shared folder, read back."""
+    folder = scratch.new(spark, "warc")
+    manifest = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity band of every document."""
+    return perplexity.rules(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file() -> str:
     """The vocabulary of the query, read on the driver."""
     import public_tokenizers
@@ -93,6 +105,8 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op4_mixing": op4_mixing,
     "op5_minhash": op5_minhash,
+    "op7_warc": op7_warc,
+    "op8_perplexity": op8_perplexity,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
