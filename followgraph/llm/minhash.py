@@ -61,16 +61,15 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     return out
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """``BANDS * ROWS`` hash minima of each non-empty set (high 32 bits)."""
+def minima(values: np.ndarray, starts: np.ndarray, many: int) -> np.ndarray:
+    """``many`` hash minima (high 32 bits) of each set; ``values`` has the sets
+    one after another, from ``starts`` on, none of them empty."""
     rng = np.random.default_rng(SEED)
-    factor = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shift = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
-    values = np.concatenate(sets)
-    starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])))[:-1]
-    out = np.empty((len(sets), BANDS * ROWS), dtype="<u4")
+    factor = rng.integers(0, 1 << 63, many, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    shift = rng.integers(0, 1 << 63, many, dtype=np.uint64)
+    out = np.empty((len(starts), many), dtype="<u4")
     hashed = np.empty_like(values)
-    for j in range(BANDS * ROWS):
+    for j in range(many):
         np.multiply(values, factor[j], out=hashed)
         hashed += shift[j]
         out[:, j] = np.minimum.reduceat(hashed, starts) >> np.uint64(32)
@@ -88,7 +87,8 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 sets = shingle_sets(texts[a:b], k)
                 size += [len(s) for s in sets]
                 full = [s for s in sets if len(s)]
-                rows = iter(minima(full)) if full else iter(())
+                starts = np.cumsum([0, *map(len, full)])[:-1]
+                rows = iter(minima(np.concatenate(full), starts, BANDS * ROWS) if full else ())
                 digest += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 sig += [next(rows).tobytes() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -204,6 +204,33 @@ def across(members: DataFrame, least: float) -> DataFrame:
     return spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
+def linked(reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int, rows: int, more: DataFrame | None = None) -> DataFrame:
+    """``node, component`` of the documents that are linked with others.
+
+    ``reps`` has ``doc_id, sig`` (``bands * rows`` minima) of documents with
+    different shingle sets, ``docs`` their ``doc_id, text``; ``more`` adds
+    links ``a, b`` known before.
+    """
+    width = 4 * rows
+    cut = reps.select("doc_id", "sig", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
+    placed = cut.select(F.xxhash64("band", F.expr(f"substring(sig, band * {width} + 1, {width})")).alias("key"), F.col("doc_id").alias("doc"))
+    buckets = placed.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("n"), F.max("doc").alias("last")).where("pivot <> last")
+    hits = scratch.keep(placed.join(buckets.drop("last"), "key"), "hits")
+    pairs = scratch.keep(hits.where("pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
+    links = scratch.keep(verified(pairs, docs, k, threshold), "links")
+    first = components(links.unionByName(more) if more is not None else links)
+
+    joined = hits.join(first, hits.doc == first.node, "left").select("key", "n", "doc", F.coalesce("component", "doc").alias("component"))
+    state = scratch.keep(joined, "buckets")
+    open_keys = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    share = threshold / 100
+    least = share - 6 * (share * (1 - share) / (bands * rows)) ** 0.5
+    waiting = state.join(open_keys, "key").join(reps.withColumnRenamed("doc_id", "doc"), "doc")
+    left = scratch.keep(across(waiting, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    late = scratch.keep(verified(left, docs, k, threshold), "links")
+    return components(first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``:
     documents are linked if their shingle sets have a Jaccard similarity of
@@ -214,28 +241,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     member = scratch.keep(real.select("doc_id", "digest").join(classes, "digest").select("doc_id", "rep"), "classes")
     reps = real.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi").select("doc_id", "sig").distinct()
 
-    width = 4 * ROWS
-    bands = reps.select("doc_id", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-    rows = bands.select(F.xxhash64("band", F.expr(f"substring(sig, band * {width} + 1, {width})")).alias("key"), F.col("doc_id").alias("doc"))
-    buckets = rows.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("n"), F.max("doc").alias("last")).where("pivot <> last")
-    hits = scratch.keep(rows.join(buckets.drop("last"), "key"), "hits")
-    pairs = scratch.keep(hits.where("pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
-    links = scratch.keep(verified(pairs, docs, k, threshold), "links")
     # An id with several texts joins their classes.
     several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
-    first = components(links.unionByName(several))
-
-    joined = hits.join(first, hits.doc == first.node, "left").select("key", "n", "doc", F.coalesce("component", "doc").alias("component"))
-    state = scratch.keep(joined, "buckets")
-    open_keys = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    tried = pairs.select("a", "b")
-    share = threshold / 100
-    least = share - 6 * (share * (1 - share) / (BANDS * ROWS)) ** 0.5
-    waiting = state.join(open_keys, "key").join(reps.withColumnRenamed("doc_id", "doc"), "doc")
-    more = scratch.keep(across(waiting, least).join(tried, ["a", "b"], "left_anti"), "pairs")
-    late = scratch.keep(verified(more, docs, k, threshold), "links")
-    groups = components(first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
-
+    groups = linked(reps, docs, k, threshold, BANDS, ROWS, several)
     place = member.join(groups, member.rep == groups.node, "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     place = place.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = sigs.select("doc_id", "n_shingles").join(place, "doc_id", "left")

@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import cnn, decontaminate, minhash, mixing, perplexity, scratch, secret_scan, token_counts, warc
+from followgraph.llm import cnn, decontaminate, minhash, mixing, paragraphs, perplexity, scratch, secret_scan, suffix_dedup, token_counts, warc
 
 TOKEN_LIMIT = 512
 QUALITY_LINE = 0.7
@@ -48,6 +48,18 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat a smaller one's strings of 50 bytes."""
+    found = suffix_dedup.kept(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     found = mixing.mixed(table(spark, sf_dir, "documents"))
@@ -59,6 +71,15 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=85)
 
 
+def op6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of every document that a smaller one has too, removed."""
+    found = paragraphs.kept(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select(
+        "doc_id", "n_shared", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "owners", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages below the shared folder, read back."""
     folder = scratch.new(spark, "warc")
@@ -103,8 +124,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secret_scan": op2_secret_scan,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_mixing": op4_mixing,
     "op5_minhash": op5_minhash,
+    "op6_paragraphs": op6_paragraphs,
     "op7_warc": op7_warc,
     "op8_perplexity": op8_perplexity,
     "op9_token_counts": op9_token_counts,

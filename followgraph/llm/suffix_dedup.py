@@ -74,7 +74,7 @@ class PrefixHashes:
         return (self.sums[end] - self.sums[start]) * self.power[start]
 
 
-def _sliding(op, x: np.ndarray, width: int) -> np.ndarray:
+def sliding(op, x: np.ndarray, width: int) -> np.ndarray:
     """``op`` over every window of ``width`` values, by doubling."""
     span = 1
     while span * 2 <= width:
@@ -96,12 +96,12 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sums = PrefixHashes(data)
         gram = arrays.mix(sums.get(np.arange(n - GRAM + 1), np.arange(GRAM, n + 1)))
         gram |= np.uint64(1)
-        low = _sliding(np.minimum, gram, width)
+        low = sliding(np.minimum, gram, width)
         # Strings that would run beyond their text do not count.
         start = np.arange(len(low))
         low[end[np.searchsorted(end, start, side="right")] < start + LENGTH] = 0
         edge = np.zeros(width - 1, dtype=np.uint64)
-        best = _sliding(np.maximum, np.concatenate([edge, low, edge]), width)
+        best = sliding(np.maximum, np.concatenate([edge, low, edge]), width)
         at = np.flatnonzero(best == gram)
         text = np.searchsorted(end, at, side="right")
         parts.append((text + a, at - np.concatenate(([0], end))[text], gram[at]))
