@@ -19,7 +19,7 @@ QUALITY_LINE = 0.5
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     model = queries.quality_model(spark, sf_dir)
-    return docs.withColumn("__score", cnn.score(docs, model)).where(F.col("__score") >= QUALITY_LINE).drop("__score")
+    return docs.where(cnn.score(docs, model) >= QUALITY_LINE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,13 +34,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     leaks = decontaminate.leaks(queries.table(spark, sf_dir, "benchmark"))
-    return docs.withColumn("__leaks", leaks).where(F.size("__leaks") == 0).drop("__leaks")
+    return docs.where(F.size(leaks) == 0)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark; ``n_chars`` follows the text."""
-    found = docs.withColumn("__found", secret_scan.spans(spark))
-    clean = found.withColumn("text", secret_scan.redacted("text", "__found")).drop("__found")
+    name = "found"
+    while name in docs.columns:
+        name += "_"
+    found = docs.withColumn(name, secret_scan.spans(spark))
+    clean = found.withColumn("text", secret_scan.redacted("text", name)).drop(name)
     return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
 
 
