@@ -9,12 +9,14 @@
    there are, only the class goes on.
 3. In each bucket of a band, every class is paired with the bucket's
    smallest; a pair becomes a link if the full shingle sets agree enough.
-4. Components of the links.  In buckets that still touch more than one
-   component, members of different components are compared by their
-   signatures, and pairs not clearly below the threshold (6 standard
-   errors) are verified on the full sets as well.  Pairs inside a component
-   cannot change the result.  A large bucket is compared tile by tile.
-5. Components of all links.
+4. Components of the links.  Buckets that still touch more than one
+   component are paired once more, around the member with most links.
+5. The documents that the buckets still open connect are compared, within
+   such a cluster, tile by tile on the full sets: those outside the
+   cluster's largest component with all others.  Pairs inside a component
+   cannot change the result, and a task returns only as many links as join
+   its components, never all pairs.
+6. Components of all links.
 
 Texts without words are linked with nothing.  A null ``doc_id`` is linked
 with nothing and is its own group (``component_id`` null, ``kept`` true).
@@ -37,7 +39,7 @@ from followgraph.llm import arrays, scratch, ship
 from followgraph.llm.components import components
 
 BANDS, ROWS = 26, 5
-TILE = 2048
+TILE = 1024
 FAN = 256  # partners that share one copy of a pivot's text
 SEED = 11
 
@@ -165,43 +167,87 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataF
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def across(members: DataFrame, least: float) -> DataFrame:
-    """Pairs ``a, b`` of different components that share an open bucket and
-    agree on a share of at least ``least`` of their signatures.
+def spanning(ids: list[list[int]], labels: list[list[int]], sets: list[list[np.ndarray]], threshold: int) -> list[tuple[int, int]]:
+    """Links between documents of different components, enough to join all
+    that are linked: each of ``ids[0]`` against all of ``ids[1]``, on the full
+    sets.  Components that a link has joined count as one from then on."""
+    if not sets[0] or not sets[1]:
+        return []
+    values, flat = np.unique(np.concatenate(sets[1]), return_inverse=True)
+    size = np.array([len(s) for s in sets[1]])
+    starts = np.concatenate(([0], np.cumsum(size)[:-1]))
+    label = np.array(labels[1], dtype=np.int64)
+    joined: dict[int, int] = {}
+
+    def now(x: int) -> int:
+        while x in joined:
+            x = joined[x]
+        return x
+
+    out, flag = [], np.zeros(len(values), dtype=np.int32)
+    for doc, own, mine in zip(ids[0], labels[0], sets[0], strict=True):
+        other = label != now(own)
+        if not other.any():
+            continue
+        place = np.minimum(np.searchsorted(values, mine), len(values) - 1)
+        place = place[values[place] == mine]
+        flag[place] = 1
+        shared = np.add.reduceat(flag[flat], starts)
+        flag[place] = 0
+        for i in np.flatnonzero(other & (shared > 0) & (100 * shared >= threshold * (len(mine) + size - shared))).tolist():
+            theirs, here = int(label[i]), now(own)
+            if theirs != here:
+                out.append((doc, ids[1][i]))
+                joined[theirs] = here
+                label[label == theirs] = here
+    return out
+
 
-    ``members`` has ``key, n, doc, component, sig``.  Buckets of more than
-    ``TILE`` members are dealt into tiles; each pair of tiles is one group.
+def resolved(members: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """Links ``a, b`` that join the components in clusters of ``members``
+    (``cluster, doc, component``), found by comparing, on the full sets, each
+    document outside its cluster's largest component with all others.
+
+    Both sides are dealt into tiles of about ``TILE`` documents, a task gets
+    one pair of tiles at a time and returns at most a spanning set of links.
     """
+    sizes = members.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
+    whole = sizes.groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+    tiles = whole.select(
+        "cluster",
+        F.col("top.component").alias("largest"),
+        F.ceil((F.col("all") - F.col("top.n")) / F.lit(TILE)).cast("int").alias("ni"),
+        F.ceil(F.col("all") / F.lit(TILE)).cast("int").alias("nj"),
+    ).where("ni > 0")
+    known = members.join(tiles, "cluster")
+    row = known.where("component <> largest").withColumn("i", F.expr("cast(pmod(xxhash64(doc, 1), ni) as int)"))
+    row = row.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nj") - 1)))
+    column = known.withColumn("j", F.expr("cast(pmod(xxhash64(doc, 2), nj) as int)"))
+    column = column.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ni") - 1)))
+    names = ["cluster", "i", "j", "role", "doc", "component"]
+    dealt = row.withColumn("role", F.lit(0)).select(names).unionByName(column.withColumn("role", F.lit(1)).select(names))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ["key", "i", "j"]):
-            if not table.num_rows:
-                continue
-            names = ["key", "i", "j"]
-            mark = list(zip(*(table.column(c).to_pylist() for c in names), strict=True))
-            cuts = [0, *(x for x in range(1, len(mark)) if mark[x] != mark[x - 1]), len(mark)]
-            doc = np.array(table.column("doc").to_pylist(), dtype=np.int64)
-            group = np.array(table.column("component").to_pylist(), dtype=np.int64)
-            tile = np.array(table.column("tile").to_pylist(), dtype=np.int64)
-            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype="<u4").reshape(len(doc), -1)
-            found: set[tuple[int, int]] = set()
+        for table in whole_groups(batches, ["cluster", "i", "j"]):
+            columns = [table.column(c).to_pylist() for c in ("cluster", "i", "j", "role", "doc", "component", "text")]
+            mark = list(zip(*columns[:3], strict=True))
+            cuts = [0, *(x for x in range(1, len(mark)) if mark[x] != mark[x - 1]), len(mark)] if mark else []
+            found = []
             for x, y in zip(cuts, cuts[1:], strict=False):
-                _, i, j = mark[x]
-                for r in range(x, y - 1):
-                    ok = group[r + 1 : y] != group[r]
-                    if i != j:
-                        ok &= tile[r + 1 : y] != tile[r]
-                    rest = np.flatnonzero(ok) + r + 1
-                    near = rest[(sig[rest] == sig[r]).mean(axis=1) >= least]
-                    found.update((min(doc[r], d), max(doc[r], d)) for d in doc[near])
-            pairs = sorted((int(a), int(b)) for a, b in found)
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
-
-    tiles = F.ceil(F.col("n") / F.lit(TILE)).cast("int")
-    tiled = members.withColumn("tiles", tiles).withColumn("tile", F.expr("cast(pmod(xxhash64(doc, 1), tiles) as int)"))
-    spread = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    spread = spread.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "doc", "component", "sig")
-    return spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+                ids, labels, sets = [[], []], [[], []], [[], []]
+                body = [t or b"" for t in columns[6][x:y]]
+                every = [s for a, b in arrays.slices(body, 1 << 20) for s in shingle_sets(body[a:b], k)]
+                for role, doc, component, values in zip(columns[3][x:y], columns[4][x:y], columns[5][x:y], every, strict=True):
+                    if len(values):
+                        ids[role].append(doc)
+                        labels[role].append(component)
+                        sets[role].append(values)
+                found += spanning(ids, labels, sets, threshold)
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
+
+    ready = dealt.join(texts, "doc").select(*names, "text").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "role", "doc")
+    return ready.mapInArrow(run, "a long, b long")
 
 
 def linked(reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int, rows: int, more: DataFrame | None = None) -> DataFrame:
@@ -214,21 +260,37 @@ def linked(reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int,
     width = 4 * rows
     cut = reps.select("doc_id", "sig", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
     placed = cut.select(F.xxhash64("band", F.expr(f"substring(sig, band * {width} + 1, {width})")).alias("key"), F.col("doc_id").alias("doc"))
-    buckets = placed.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("n"), F.max("doc").alias("last")).where("pivot <> last")
+    buckets = placed.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("last")).where("pivot <> last")
     hits = scratch.keep(placed.join(buckets.drop("last"), "key"), "hits")
     pairs = scratch.keep(hits.where("pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = scratch.keep(verified(pairs, docs, k, threshold), "links")
     first = components(links.unionByName(more) if more is not None else links)
 
-    joined = hits.join(first, hits.doc == first.node, "left").select("key", "n", "doc", F.coalesce("component", "doc").alias("component"))
-    state = scratch.keep(joined, "buckets")
-    open_keys = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    share = threshold / 100
-    least = share - 6 * (share * (1 - share) / (bands * rows)) ** 0.5
-    waiting = state.join(open_keys, "key").join(reps.withColumnRenamed("doc_id", "doc"), "doc")
-    left = scratch.keep(across(waiting, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    late = scratch.keep(verified(left, docs, k, threshold), "links")
-    return components(first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
+    # Buckets that still touch several components: once more, around the member with most links.
+    state, open_keys = _open(hits, first)
+    ends = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = state.join(open_keys, "key").join(ends, "doc", "left")
+    best = ranked.groupBy("key").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("doc")).alias("doc"), F.col("component").alias("c"))).alias("best"))
+    centre = best.select("key", (-F.col("best.doc")).alias("a"), F.col("best.c").alias("c"))
+    again = state.join(centre, "key").where("component <> c and a <> pivot").select("a", F.col("doc").alias("b")).distinct()
+    known = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    second = components(known.unionByName(verified(scratch.keep(again, "pairs"), docs, k, threshold)))
+
+    # What is open still: all documents that such buckets connect, compared with each other.
+    state, open_keys = _open(hits, second)
+    waiting = scratch.keep(state.join(open_keys, "key").select("pivot", "doc", "component").distinct(), "open")
+    cluster = components(waiting.select(F.col("pivot").alias("a"), F.col("doc").alias("b"))).withColumnRenamed("component", "cluster")
+    members = waiting.select("doc", "component").distinct().join(cluster, F.col("doc") == F.col("node")).select("cluster", "doc", "component")
+    late = scratch.keep(resolved(members, docs, k, threshold), "links")
+    return components(second.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
+
+
+def _open(hits: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of the buckets with their components so far, and the buckets with several."""
+    joined = hits.join(groups, hits.doc == groups.node, "left")
+    state = scratch.keep(joined.select("key", "pivot", "doc", F.coalesce("component", "doc").alias("component")), "buckets")
+    spread = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return state, spread.where("low <> high").select("key")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
