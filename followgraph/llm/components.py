@@ -14,35 +14,34 @@ from pyspark.sql import functions as F
 from followgraph.llm import scratch
 
 
-def _kept(edges: DataFrame) -> tuple[DataFrame, str, tuple]:
-    """Write an edge set; its path, and its size and sum of hashes to compare it by."""
-    seen = Observation()
-    path = scratch.new(edges.sparkSession, "edges")
-    edges.observe(
-        seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % F.lit(1 << 40)).alias("hash")
-    ).write.parquet(path)
-    mark = seen.get
-    return edges.sparkSession.read.schema("u long, v long").parquet(path), path, (mark["n"], mark["hash"])
-
-
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` for every node of the undirected ``links`` of two
     different nodes: the smallest node it is connected with.  Null ends and
     links of a node with itself are ignored."""
+    spark = links.sparkSession
     ends = links.select(F.col(a).cast("long").alias("x"), F.col(b).cast("long").alias("y")).where("x <> y")
-    edges, path, mark = _kept(ends.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct())
-    while mark[0]:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        near = large.join(low, "u")
-        small = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
-        edges, newer, after = _kept(small)
-        scratch.remove(edges.sparkSession, path)
-        path = newer
-        if after == mark:
+    edges = ends.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
+    path = scratch.new(spark, "edges")
+    edges.write.parquet(path)
+    while True:
+        edges = spark.read.schema("u long, v long").parquet(path)
+        if edges.isEmpty():
+            break
+        # Large-star.  Every edge (u > v) lets u move on from v to v's smallest neighbour, if that is smaller.
+        low = edges.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        large = edges.join(low, F.col("v") == F.col("w"), "left")
+        large = large.select("u", F.coalesce("m", "v").alias("v"), F.col("m").isNotNull().alias("moved"))
+        # Small-star.  The smaller neighbours of u, and u, move to the smallest of them.
+        near = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        seen = Observation()
+        near = near.observe(seen, F.count_if(F.col("moved") | (F.col("v") != F.col("m"))).alias("moves"))
+        small = near.select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))))
+        after = scratch.new(spark, "edges")
+        small.where("u <> v").distinct().write.parquet(after)
+        scratch.remove(spark, path)
+        path = after
+        if not seen.get["moves"]:
             break
-        mark = after
-    # At the fixed point every node but a component's smallest has one edge, to the smallest.
+    # Nothing moved: every node but a component's smallest has one edge, to the smallest.
+    edges = spark.read.schema("u long, v long").parquet(path)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())

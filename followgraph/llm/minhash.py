@@ -9,13 +9,14 @@
    there are, only the class goes on.
 3. In each bucket of a band, every class is paired with the bucket's
    smallest; a pair becomes a link if the full shingle sets agree enough.
-4. Components of the links.  Buckets that still touch more than one
-   component are paired once more, around the member with most links.
-5. The documents that the buckets still open connect are compared, within
-   such a cluster, tile by tile on the full sets: those outside the
-   cluster's largest component with all others.  Pairs inside a component
-   cannot change the result, and a task returns only as many links as join
-   its components, never all pairs.
+4. Members that are not linked with their bucket's smallest are paired once
+   more, with the member of the bucket that has most links.
+5. Components of the links.  Where a bucket still touches more than one,
+   the members of all such buckets with the same smallest make a cluster, in
+   which those outside the largest component are compared with all others,
+   tile by tile on the full sets.  Pairs inside a component cannot change the
+   result, and a task returns only as many links as join its components,
+   never all pairs.
 6. Components of all links.
 
 Texts without words are linked with nothing.  A null ``doc_id`` is linked
@@ -262,35 +263,31 @@ def linked(reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int,
     placed = cut.select(F.xxhash64("band", F.expr(f"substring(sig, band * {width} + 1, {width})")).alias("key"), F.col("doc_id").alias("doc"))
     buckets = placed.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("last")).where("pivot <> last")
     hits = scratch.keep(placed.join(buckets.drop("last"), "key"), "hits")
+    # The texts that are compared at all, fetched once.
+    wanted = hits.select("doc").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    texts = scratch.keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi"), "texts")
     pairs = scratch.keep(hits.where("pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
-    links = scratch.keep(verified(pairs, docs, k, threshold), "links")
-    first = components(links.unionByName(more) if more is not None else links)
+    links = scratch.keep(verified(pairs, texts, k, threshold), "links")
 
-    # Buckets that still touch several components: once more, around the member with most links.
-    state, open_keys = _open(hits, first)
+    # Members that are not linked with their bucket's smallest: once more, with the one that has most links.
+    failed = pairs.join(links, ["a", "b"], "left_anti")
+    lone = hits.join(failed, (hits.pivot == failed.a) & (hits.doc == failed.b), "left_semi").select("key", "doc")
     ends = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count(F.lit(1)).alias("degree"))
-    ranked = state.join(open_keys, "key").join(ends, "doc", "left")
-    best = ranked.groupBy("key").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("doc")).alias("doc"), F.col("component").alias("c"))).alias("best"))
-    centre = best.select("key", (-F.col("best.doc")).alias("a"), F.col("best.c").alias("c"))
-    again = state.join(centre, "key").where("component <> c and a <> pivot").select("a", F.col("doc").alias("b")).distinct()
+    ranked = hits.join(ends, "doc").groupBy("key").agg(F.max(F.struct("degree", (-F.col("doc")).alias("doc"))).alias("best"))
+    again = lone.join(ranked, "key").select((-F.col("best.doc")).alias("a"), F.col("doc").alias("b")).where("a <> b").distinct()
+    again = again.join(pairs, ["a", "b"], "left_anti")
+    links = links.unionByName(scratch.keep(verified(again, texts, k, threshold), "links"))
+    first = components(links.unionByName(more) if more is not None else links)
+
+    # Buckets that still touch several components: what shares such a bucket's smallest is compared.
+    state = hits.join(first, hits.doc == first.node, "left").select("key", "pivot", "doc", F.coalesce("component", "doc").alias("component"))
+    state = scratch.keep(state, "buckets")
+    spread = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    members = state.join(spread, "key").select(F.col("pivot").alias("cluster"), "doc", "component").distinct()
+    late = scratch.keep(resolved(scratch.keep(members, "open"), texts, k, threshold), "links")
     known = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    second = components(known.unionByName(verified(scratch.keep(again, "pairs"), docs, k, threshold)))
-
-    # What is open still: all documents that such buckets connect, compared with each other.
-    state, open_keys = _open(hits, second)
-    waiting = scratch.keep(state.join(open_keys, "key").select("pivot", "doc", "component").distinct(), "open")
-    cluster = components(waiting.select(F.col("pivot").alias("a"), F.col("doc").alias("b"))).withColumnRenamed("component", "cluster")
-    members = waiting.select("doc", "component").distinct().join(cluster, F.col("doc") == F.col("node")).select("cluster", "doc", "component")
-    late = scratch.keep(resolved(members, docs, k, threshold), "links")
-    return components(second.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
-
-
-def _open(hits: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of the buckets with their components so far, and the buckets with several."""
-    joined = hits.join(groups, hits.doc == groups.node, "left")
-    state = scratch.keep(joined.select("key", "pivot", "doc", F.coalesce("component", "doc").alias("component")), "buckets")
-    spread = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return state, spread.where("low <> high").select("key")
+    return components(known.unionByName(late))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
