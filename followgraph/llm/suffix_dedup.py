@@ -44,7 +44,8 @@ from followgraph.llm import arrays, ship
 
 LENGTH = 50
 GRAM = 24
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 5 << 20
+BUCKETS = 4  # for each block
 HOT = 1500
 LAST = np.iinfo(np.int64).max  # stands for a null id
 
@@ -219,7 +220,7 @@ class Sites:
         out = []
         for b in np.unique(self.bucket[self.sent]):
             own = self.sent[self.bucket[self.sent] == b]
-            out.append((int(b), b"".join([self.ids[self.text[own]].astype("<i8").tobytes(), self.left[own].astype(np.uint8).tobytes(), self.right[own].astype(np.uint8).tobytes(), self.rows(own).tobytes()])))
+            out.append((int(b), squeezed(self.ids[self.text[own]], self.left[own], self.right[own], self.rows(own))))
         return out
 
     def removed(self, answers: dict[int, bytes]) -> np.ndarray:
@@ -242,6 +243,20 @@ class Sites:
         return np.cumsum(cover[: self.begin[-1]]) > 0
 
 
+def squeezed(doc: np.ndarray, left: np.ndarray, right: np.ndarray, rows: np.ndarray) -> bytes:
+    """Sites as one compressed message after their number."""
+    data = b"".join([doc.astype("<i8").tobytes(), left.astype(np.uint8).tobytes(), right.astype(np.uint8).tobytes(), rows.tobytes()])
+    return len(doc).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def spread(message: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, left, right and rows of a message."""
+    n = int.from_bytes(message[:8], "little")
+    data = pa.decompress(message[8:], decompressed_size=n * (10 + ROW), codec="zstd", asbytes=True)
+    side = np.frombuffer(data, np.uint8, 2 * n, 8 * n).reshape(2, -1).astype(np.int64)
+    return np.frombuffer(data, "<i8", n), side[0], side[1], np.frombuffer(data, np.uint8, n * ROW, 10 * n).reshape(-1, ROW)
+
+
 def extension(sums: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """How far suffixes ``a`` and ``b`` agree: binary search for the longest equal prefix hash."""
     low = np.zeros(len(a), dtype=np.int64)
@@ -390,9 +405,11 @@ def kept(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     number = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(blocks)).cast("int")
     rows = rows.select("doc_id", "text", number.alias("block"))
 
+    buckets = BUCKETS * blocks
+
     def keys(table: pa.Table) -> pa.Table:
         ids, texts, block = _block(table)
-        return _reply([(block, b, 0, k, c) for b, k, c in sent_keys(ids, texts, blocks)])
+        return _reply([(block, b, 0, k, c) for b, k, c in sent_keys(ids, texts, buckets)])
 
     def answer_keys(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -402,7 +419,7 @@ def kept(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     def sites(table: pa.Table, replies: pa.Table) -> tuple[Sites, np.ndarray, list[bytes], int]:
         ids, texts, block = _block(table)
         told = zip(*(replies.column(c).to_pylist() for c in ("bucket", "data", "mark", "kind")), strict=True)
-        return Sites(ids, texts, sorted((b, k, h) for b, k, h, kind in told if kind == 0), blocks), ids, texts, block
+        return Sites(ids, texts, sorted((b, k, h) for b, k, h, kind in told if kind == 0), buckets), ids, texts, block
 
     def surroundings(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows or not replies.num_rows:
@@ -412,12 +429,10 @@ def kept(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     def answer_sites(table: pa.Table) -> pa.Table:
         bucket, block, data = table.column("bucket")[0].as_py(), table.column("block").to_pylist(), table.column("data").to_pylist()
-        width = 8 + 2 + ROW
-        count = [len(d) // width for d in data]
-        doc = np.concatenate([np.frombuffer(d, "<i8", n) for d, n in zip(data, count, strict=True)])
-        side = [np.frombuffer(d, np.uint8, 2 * n, 8 * n).reshape(2, -1) for d, n in zip(data, count, strict=True)]
-        left, right = np.concatenate(side, axis=1).astype(np.int64)
-        around = np.concatenate([np.frombuffer(d, np.uint8, n * ROW, 10 * n).reshape(-1, ROW) for d, n in zip(data, count, strict=True)])
+        parts = [spread(d) for d in data]
+        doc, left, right, around = (np.concatenate(x) for x in zip(*parts, strict=True))
+        count = [len(x[0]) for x in parts]
+        del parts, data
         before, after = stretches(doc, left, right, around)
         cut = np.cumsum([0, *count])
         return _reply([(x, bucket, 1, np.stack([before[a:b], after[a:b]]).astype(np.uint8).tobytes(), None) for x, a, b in zip(block, cut[:-1], cut[1:], strict=True)])
