@@ -13,17 +13,10 @@ def rank_update(received: Column, dangling_mass: float, n: int, damping: float)
     return F.lit(base) + F.lit(damping) * (F.coalesce(received, F.lit(0.0)) + F.lit(dangling_mass / n))
 
 
-def offer(freq: Column, user: Column) -> Column:
-    """An offer compares by frequency, then by the larger user id."""
-    return F.struct(freq.alias("freq"), user.alias("user"))
-
-
 def candidate(freq: Column, user: Column, topic: Column) -> Column:
     """A final choice compares by frequency, then by the *smaller* user id
-    (through ``neg_user``), then by topic name descending."""
-    return F.struct(
-        freq.alias("freq"), (-user).alias("neg_user"), user.alias("user"), topic.alias("topic")
-    )
+    (negated; recover it by negation), then by topic name descending."""
+    return F.struct(freq.alias("freq"), (-user).alias("neg_user"), topic.alias("topic"))
 
 
 def interested(freq: Column, threshold: float) -> Column:

@@ -18,6 +18,7 @@ import time
 from pyspark.sql import SparkSession
 
 from followgraph.jobs import session, usage, use_checkpoints
+from followgraph.operators import lineage
 from followgraph.operators import pagerank as pr
 from followgraph.sources import sinks, text
 
@@ -33,14 +34,16 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     use_checkpoints(spark, out)
     t0 = time.time()
     g = pr.prepare(text.read_edges(spark, src))
-    print(f"users: {g.n}, edges: {g.n_edges}, dangling: {g.n_dangling}")
-    ranks, sums = pr.run(g, iterations, DAMPING)
-    ranks = ranks.select("userId", "rank")
-    sinks.write_parquet(pr.ranked(ranks), f"{out}/pagerank-results")
-    top = pr.top_ranked(ranks, top_n)
+    try:
+        print(f"users: {g.n}, edges: {g.n_edges}, dangling: {g.n_dangling}")
+        ranks, sums = pr.run(g, iterations, DAMPING)
+    finally:
+        g.release()
+    sinks.write_parquet(pr.ranked(ranks.select("userId", "rank")), f"{out}/pagerank-results")
+    top, _ = lineage.materialize(pr.top_ranked(ranks.select("userId", "rank"), top_n))
     sinks.write_parquet_single(top, f"{out}/top-{top_n}-ranked-users")
     top.show(min(top_n, 20), truncate=False)
-    g.release()
+    lineage.release(ranks)
     print(f"rank sums per round: {sums}")
     print(f"PageRank done in {time.time() - t0:.1f} s")
 

@@ -18,6 +18,7 @@ import time
 from pyspark.sql import SparkSession
 
 from followgraph.jobs import session, usage, use_checkpoints
+from followgraph.operators import lineage
 from followgraph.operators import recommend as rc
 from followgraph.sources import sinks, text
 
@@ -34,6 +35,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         text.read_edges(spark, graph_path), text.read_topics(spark, topics_path), iterations
     )
     sinks.write_parquet(recs, f"{out}/recommendations")
+    lineage.release(recs)
     print(f"recommendations done in {time.time() - t0:.1f} s")
 
 

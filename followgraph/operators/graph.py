@@ -9,32 +9,33 @@ map task, not one per follower.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from followgraph.operators import lineage, skew
 
 
-def _ends(edges: DataFrame) -> DataFrame:
-    """Both ends of every edge in one pass: ``userId, o, i`` with ``o = 1``
-    for the source row and ``i = 1`` for the destination row."""
+def _ends(edges: DataFrame, weight: Column) -> DataFrame:
+    """Both ends of every edge in one pass: ``userId, o, i`` with ``o`` the
+    weight for the source row and ``i`` for the destination row."""
+    zero = F.lit(0).cast("long")
     return edges.select(
         F.inline(
             F.array(
-                F.struct(F.col("source").alias("userId"), F.lit(1).alias("o"), F.lit(0).alias("i")),
-                F.struct(F.col("destination").alias("userId"), F.lit(0).alias("o"), F.lit(1).alias("i")),
+                F.struct(F.col("source").alias("userId"), weight.alias("o"), zero.alias("i")),
+                F.struct(F.col("destination").alias("userId"), zero.alias("o"), weight.alias("i")),
             )
         )
     )
 
 
-def vertices(edges: DataFrame) -> DataFrame:
+def vertices(edges: DataFrame, weight: str | None = None) -> DataFrame:
     """``userId, out_degree, in_degree`` for every user in an edge.
-    Repeated edges count every time; a self-loop counts on both sides."""
-    return _ends(edges).groupBy("userId").agg(
-        F.sum("o").cast("long").alias("out_degree"),
-        F.sum("i").cast("long").alias("in_degree"),
-    )
+    Repeated edges count every time, or by the column ``weight``; a
+    self-loop counts on both sides."""
+    one = F.lit(1).cast("long") if weight is None else F.col(weight)
+    return _ends(edges, one).groupBy("userId").agg(F.sum("o").alias("out_degree"), F.sum("i").alias("in_degree"))
 
 
 def edge_count(edges: DataFrame) -> DataFrame:
@@ -100,30 +101,46 @@ def adjacency(
 ) -> DataFrame:
     """Followee lists: ``userId, part, followees, outDegree``.
 
-    ``followees`` keeps repeated edges.  Every edge first learns its
-    source's out-degree ``n`` (a join that is salted for hot sources, see
-    :mod:`followgraph.operators.skew`); a list longer than ``max_list`` is
-    then cut into ``ceil(n / max_list)`` parts by a hash of the followee,
-    so no row holds more than about ``max_list`` entries and no task a
-    whole hot list.  Other users have one row with ``part = 0``.
-    ``outDegree`` is the user's total over all parts.
+    ``followees`` keeps repeated edges.  Repeated pairs are combined first
+    and learn their source's out-degree ``n`` (a join that is salted for hot
+    sources, see :mod:`followgraph.operators.skew`).  A list longer than
+    ``max_list`` is dealt into ``ceil(n / max_list)`` groups by a hash of the
+    followee, and each group is cut every ``max_list`` entries, so no row
+    holds more, however often an edge repeats.  Other users have one row
+    with ``part = 0``.  ``outDegree`` is the user's total over all parts.
     """
-    e = edges.select("source", "destination")
+    pairs = edges.groupBy("source", "destination").agg(F.count(F.lit(1)).alias("c"))
     counts, m = lineage.materialize(
-        e.groupBy("source").agg(F.count(F.lit(1)).alias("n")), total=F.sum("n")
+        pairs.groupBy("source").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("rows")), total=F.sum("rows")
     )
     total = int(m["total"] or 0)
-    hot = skew.collect_hot(counts, "source", "n", skew.hot_threshold(total, min_rows, max_keys), total)
+    hot = skew.collect_hot(counts, "source", "rows", skew.hot_threshold(total, min_rows, max_keys), total, max_keys)
+    known = counts.select("source", "n")
     if hot is None:
-        sized = e.join(counts, "source")
+        sized = pairs.join(known, "source")
     else:
-        sized = skew.add_salt(e, "source", "destination", hot).join(
-            skew.replicate(counts, "source", hot), ["source", "salt"]
+        sized = skew.add_salt(pairs, "source", "destination", hot).join(
+            skew.replicate(known, "source", hot), ["source", "salt"]
         )
-    n_parts = F.ceil(F.col("n") / F.lit(max_list))
-    part = F.when(F.col("n") > F.lit(max_list), F.pmod(F.xxhash64("destination"), n_parts)).otherwise(0)
+    size = F.lit(max_list)
+    groups = F.ceil(F.col("n") / size)
+    dealt = sized.withColumn("groups", groups).withColumn("g", F.pmod(F.xxhash64("destination"), "groups"))
+    upto = W.partitionBy("source", "g").orderBy("destination").rowsBetween(W.unboundedPreceding, 0)
+    placed = dealt.withColumn("last", F.sum("c").over(upto)).withColumn("first", F.col("last") - F.col("c"))
+    cut = F.sequence(F.floor(F.col("first") / size), F.floor((F.col("last") - 1) / size))
+    pieces = placed.withColumn("piece", F.explode(cut))
+    copies = F.least("last", (F.col("piece") + 1) * size) - F.greatest("first", F.col("piece") * size)
     return (
-        sized.groupBy("source", part.cast("int").alias("part"))
-        .agg(F.collect_list("destination").alias("followees"), F.max("n").alias("outDegree"))
-        .select(F.col("source").alias("userId"), "part", "followees", "outDegree")
+        pieces.groupBy("source", "g", "piece")
+        .agg(
+            F.flatten(F.collect_list(F.array_repeat("destination", copies.cast("int")))).alias("followees"),
+            F.max("n").alias("outDegree"),
+            F.max("groups").alias("groups"),
+        )
+        .select(
+            F.col("source").alias("userId"),
+            (F.col("piece") * F.col("groups") + F.col("g")).cast("int").alias("part"),
+            "followees",
+            "outDegree",
+        )
     )

@@ -2,22 +2,25 @@
 
 Layout, prepared once (:func:`prepare`):
 
+* the edges are read once and combined to ``source, destination, w`` (``w``
+  = multiplicity), with repeated pairs summed before the shuffle;
 * ``verts``: ``userId, out_degree`` for every user (a checkpoint whose
   job also counts users, dangling users and edges);
-* ``links``: ``source, [salt,] destination, w`` (``w`` = multiplicity of
-  the edge), bucketed by ``source`` -- or by ``(source, salt)`` when some
-  source is hot -- into a bucket count sized from the edge count;
+* ``links``: ``source, [salt,] destination, w``, bucketed by ``source`` --
+  or by ``(source, salt)`` when some source is hot -- into a bucket count
+  sized from the number of links;
 * ``hot``: sources above the hot-key threshold with their salt counts
   (bounded, broadcast), or ``None``.
 
 Each round is written as a table bucketed by ``userId``: ``userId,
 out_degree, rank``.  The next round reads it twice in place, as senders
-(each sender's ``rank / out_degree`` is the build side of a hash join
-that streams the links, with no sort) and as the list of all users that
-the summed contributions are joined back to.  Only pre-aggregated
-contributions are shuffled; hot sources' senders are copied once per
-salt.  The write's job also observes the rank sum and the dangling mass
-for the next round.
+joined to the links and as the list of all users that the summed
+contributions are joined back to.  Rounds run with as many shuffle
+partitions as there are buckets, so only the pre-aggregated contributions
+are shuffled, whatever the session's own setting; hot sources' senders are
+copied once per salt.  Joins hash the users' side where a bucket holds few
+of them and sort-merge otherwise.  The write's job also observes the rank
+sum and the dangling mass for the next round.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from followgraph.functions.columns import rank_update
@@ -74,27 +77,39 @@ def prepare(
     edges = edges.select("source", "destination").where(
         F.col("source").isNotNull() & F.col("destination").isNotNull()
     )
-    verts, m = lineage.materialize(
-        vertices(edges).select("userId", "out_degree"),
-        n=F.count(F.lit(1)),
-        dangling=F.count_if(F.col("out_degree") == 0),
-        edges=F.sum("out_degree"),
-    )
-    n, n_dangling, n_edges = int(m["n"]), int(m["dangling"]), int(m["edges"] or 0)
-    buckets = buckets or lineage.bucket_count(spark, n_edges)
-    threshold = skew.hot_threshold(n_edges, min_rows, max_keys)
-    hot = skew.collect_hot(verts, "userId", "out_degree", threshold, n_edges)
-    # Bucket on the exact join keys: a constant salt would be folded away
-    # by the optimizer and the bucketing could no longer be used.
-    keys = ("source",) if hot is None else ("source", "salt")
-    salted = edges if hot is None else skew.add_salt(edges, "source", "destination", hot)
-    links_df = (
-        salted.repartition(buckets, *keys)
-        .groupBy(*keys, "destination")
-        .agg(F.count(F.lit(1)).alias("w"))
-    )
-    links, _, lname = lineage.write_table(links_df, "links", list(keys), buckets, sort_cols=list(keys))
-    return LinkGraph(verts, links, hot, keys, n, n_dangling, n_edges, buckets, (lname,))
+    made: list[str] = []
+    try:
+        combined = edges.groupBy("source", "destination").agg(F.count(F.lit(1)).alias("w"))
+        pairs, m, pairs_name = lineage.write_table(combined, "pairs", pairs=F.count(F.lit(1)))
+        made.append(pairs_name)
+        verts, v = lineage.materialize(
+            vertices(pairs, "w").select("userId", "out_degree"),
+            n=F.count(F.lit(1)),
+            dangling=F.count_if(F.col("out_degree") == 0),
+            edges=F.sum("out_degree"),
+        )
+        n, n_dangling, n_edges = int(v["n"]), int(v["dangling"]), int(v["edges"] or 0)
+        n_pairs = int(m["pairs"] or 0)
+        buckets = buckets or lineage.bucket_count(spark, n_pairs)
+        # Rows of the link table by source; a user has at most as many as out-edges.
+        threshold = skew.hot_threshold(n_pairs, min_rows, max_keys)
+        hot = skew.collect_hot(
+            pairs.groupBy("source").agg(F.count(F.lit(1)).alias("n")), "source", "n", threshold, n_pairs, max_keys
+        )
+        # Bucket on the exact join keys: a constant salt would be folded away
+        # by the optimizer and the bucketing could no longer be used.
+        keys = ("source",) if hot is None else ("source", "salt")
+        salted = pairs if hot is None else skew.add_salt(pairs, "source", "destination", hot)
+        links, _, name = lineage.write_table(
+            salted.select(*keys, "destination", "w"), "links", list(keys), buckets, sort_cols=list(keys)
+        )
+        made.append(name)
+    except BaseException:
+        for name in made:
+            lineage.drop_table(spark, name)
+        raise
+    lineage.drop_table(spark, pairs_name)
+    return LinkGraph(verts, links, hot, keys, n, n_dangling, n_edges, buckets, (name,))
 
 
 def initial_ranks(g: LinkGraph) -> DataFrame:
@@ -111,20 +126,21 @@ def contributions(ranks: DataFrame, g: LinkGraph) -> DataFrame:
     if g.hot is not None:
         senders = skew.replicate(senders, "source", g.hot)
     return (
-        g.links.join(senders.hint("shuffle_hash"), list(g.keys))
+        g.links.join(lineage.hash_side(senders, g.n, g.buckets), list(g.keys))
         .select(F.col("destination").alias("userId"), (F.col("share") * F.col("w")).alias("c"))
         .groupBy("userId")
         .agg(F.sum("c").alias("received"))
     )
 
 
+def mass_held() -> Column:
+    """Aggregate: the rank held by users without out-edges (0.0 if none)."""
+    return F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0))
+
+
 def dangling_mass(ranks: DataFrame) -> DataFrame:
-    """One row, the rank held by users without out-edges (0.0 if none)."""
-    return ranks.agg(
-        F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0)).alias(
-            "dangling_mass"
-        )
-    )
+    """One row, :func:`mass_held`."""
+    return ranks.agg(mass_held().alias("dangling_mass"))
 
 
 def step(ranks: DataFrame, g: LinkGraph, mass: float, damping: float) -> DataFrame:
@@ -132,7 +148,7 @@ def step(ranks: DataFrame, g: LinkGraph, mass: float, damping: float) -> DataFra
     it is also the list the received sums are joined back to."""
     received = contributions(ranks, g)
     users = ranks.select("userId", "out_degree")
-    return users.join(received.hint("shuffle_hash"), "userId", "left").select(
+    return users.join(lineage.hash_side(received, g.n, g.buckets), "userId", "left").select(
         "userId", "out_degree", rank_update(F.col("received"), mass, g.n, damping).alias("rank")
     )
 
@@ -160,23 +176,28 @@ def run(
     ranks = initial_ranks(g)
     mass = g.n_dangling / g.n
     sums: list[float] = []
-    previous = None
-    for r in range(1, iterations + 1):
-        ranks, m, name = lineage.write_table(
-            step(ranks, g, mass, damping),
-            "ranks",
-            ["userId"],
-            g.buckets,
-            total=F.sum("rank"),
-            mass=F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0)),
-        )
-        lineage.drop_table(spark, previous)
-        previous = name
-        sums.append(float(m["total"]))
-        if validate:
-            check_rank_sum(m["total"], r)
-        mass = float(m["mass"])
-    return ranks, sums
+    held: str | None = None
+    try:
+        with lineage.shuffle_width(spark, g.buckets):
+            for r in range(1, iterations + 1):
+                ranks, m, name = lineage.write_table(
+                    step(ranks, g, mass, damping),
+                    "ranks",
+                    ["userId"],
+                    g.buckets,
+                    total=F.sum("rank"),
+                    mass=mass_held(),
+                )
+                lineage.drop_table(spark, held)
+                held = name
+                sums.append(float(m["total"]))
+                if validate:
+                    check_rank_sum(m["total"], r)
+                mass = float(m["mass"])
+    except BaseException:
+        lineage.drop_table(spark, held)
+        raise
+    return lineage.owned(ranks, held), sums
 
 
 def pagerank(
@@ -189,13 +210,14 @@ def pagerank(
     max_keys: int = skew.HOT_MAX_KEYS,
 ) -> DataFrame:
     """``userId, rank`` after exactly ``iterations`` rounds (no
-    convergence stop).  Unsorted; sort with :func:`ranked` when needed."""
+    convergence stop).  Unsorted; sort with :func:`ranked` when needed, and
+    free the result's table with :func:`lineage.release` when done."""
     g = prepare(edges, buckets, min_rows, max_keys)
-    ranks, _ = run(g, iterations, damping, validate)
-    out = ranks.select("userId", "rank")
-    if iterations > 0 and g.n > 0:
-        g.release()  # the result reads its own round table, not these
-    return out
+    try:
+        ranks, _ = run(g, iterations, damping, validate)
+    finally:
+        g.release()  # the ranks read their own round table, not the links
+    return lineage.owned(ranks.select("userId", "rank"), *getattr(ranks, "_fg_tables", ()))
 
 
 def ranked(ranks: DataFrame) -> DataFrame:

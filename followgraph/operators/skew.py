@@ -57,16 +57,19 @@ def replicate(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
 
 
 def collect_hot(
-    counts: DataFrame, key: str, count: str, threshold: int, total: int | None = None
+    counts: DataFrame, key: str, count: str, threshold: int, total: int | None = None, max_keys: int = HOT_MAX_KEYS
 ) -> DataFrame | None:
     """Materialize the hot keys (a bounded table) and return ``None`` when
     there are none, so callers skip the salting join altogether.  With
     ``total`` (rows over all keys) at or below the threshold no key can be
-    hot and no job runs."""
+    hot and no job runs.  More than ``max_keys`` keys are refused: the table
+    is broadcast."""
     from followgraph.operators import lineage
 
     if total is not None and total <= threshold:
         return None
 
     hot, m = lineage.materialize(hot_keys(counts, key, count, threshold), n=F.count(F.lit(1)))
+    if int(m["n"]) > max_keys:
+        raise ValueError(f"{m['n']} hot keys; at most {max_keys} can be broadcast")
     return hot if int(m["n"]) > 0 else None

@@ -14,8 +14,8 @@ ITERATIONS = 10
 TOP_N = 100
 
 EDGES = (
-    "SELECT o_custkey AS source, l_partkey AS destination "
-    "FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity > 45"
+    "SELECT o_custkey AS source, 2 * l_partkey AS destination "
+    "FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
 )
 TOPICS = (
     "SELECT o_custkey AS userId, "
@@ -36,9 +36,9 @@ def _with(*ctes: tuple[str, str]) -> str:
     return "WITH " + ",\n".join(f"{name} AS MATERIALIZED ({body})" for name, body in ctes)
 
 
-def _rank_rounds(k: int) -> list[tuple[str, str]]:
+def _rank_rounds(k: int, edges: str = EDGES) -> list[tuple[str, str]]:
     ctes = [
-        ("e", EDGES),
+        ("e", edges),
         ("v", VERTS),
         ("n", "SELECT CAST(count(*) AS DOUBLE) AS n FROM v"),
         ("r0", "SELECT v.userId, v.out_degree, 1.0::DOUBLE / n.n AS rank FROM v CROSS JOIN n"),
@@ -69,10 +69,10 @@ def _rank_rounds(k: int) -> list[tuple[str, str]]:
     return ctes
 
 
-def _state0() -> list[tuple[str, str]]:
+def _state0(edges: str = EDGES, topics: str = TOPICS) -> list[tuple[str, str]]:
     return [
-        ("e", EDGES),
-        ("t", TOPICS),
+        ("e", edges),
+        ("t", topics),
         ("u", USERS),
         (
             "tl",
@@ -101,8 +101,8 @@ def _offers(prev: str) -> str:
     )
 
 
-def _rec_rounds(k: int) -> list[tuple[str, str]]:
-    ctes = _state0()
+def _rec_rounds(k: int, edges: str = EDGES, topics: str = TOPICS) -> list[tuple[str, str]]:
+    ctes = _state0(edges, topics)
     for i in range(1, k + 1):
         p = f"s{i - 1}"
         ctes.append((f"o{i}", _offers(p)))
@@ -118,11 +118,25 @@ def _rec_rounds(k: int) -> list[tuple[str, str]]:
     return ctes
 
 
+#: What the loaders keep of the planted lines.
+LOADED_EDGES = f"SELECT source, destination FROM ({EDGES.replace('AS destination', 'AS destination, l_linenumber')}) WHERE l_linenumber NOT IN (4, 5, 6, 7)"
+LOADED_TOPICS = f"SELECT userId, games, movies, music FROM ({TOPICS}) WHERE NOT (games = 2 OR movies = 4 OR music = 5)"
+
+
+def _recommended(k: int) -> str:
+    return (
+        " SELECT userId, postFrequency, topic, recommendedUserId FROM ("
+        "SELECT userId, max_freq AS postFrequency, topic, max_user AS recommendedUserId, "
+        "row_number() OVER (PARTITION BY userId ORDER BY max_freq DESC, max_user ASC, topic DESC) AS rn "
+        f"FROM s{k} WHERE interested) WHERE rn = 1 AND postFrequency > 0"
+    )
+
+
 RAW_EDGES = (
     "SELECT CASE WHEN l_linenumber = 4 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS source, "
     "CASE WHEN l_linenumber = 5 THEN '' WHEN l_linenumber = 6 THEN NULL "
-    "ELSE CAST(l_partkey AS VARCHAR) END AS destination "
-    "FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity > 45"
+    "ELSE CAST(2 * l_partkey AS VARCHAR) END AS destination "
+    "FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
 )
 RAW_TOPICS = (
     "SELECT CAST(userId AS VARCHAR) AS userId, "
@@ -172,6 +186,9 @@ def oracle_sql() -> dict[str, str]:
         + " SELECT source AS userId, 0 AS part, "
         "array_to_string(list_sort(list(destination)), ',') AS followees, count(*) AS outDegree "
         "FROM e GROUP BY source",
+        "adjacency_parts": _with(("e", EDGES))
+        + " SELECT source AS userId, array_to_string(list_sort(list(destination)), ',') AS followees, "
+        "count(*) AS outDegree, true AS bounded FROM e GROUP BY source",
         "dangling_users": _with(("e", EDGES), ("v", VERTS)) + " SELECT userId FROM v WHERE out_degree = 0",
         "pagerank_contrib": rank_1
         + f" SELECT v.userId, round(coalesce(c1.received, 0.0::DOUBLE), {DIGITS}) AS contrib "
@@ -180,6 +197,7 @@ def oracle_sql() -> dict[str, str]:
         + f" SELECT round(coalesce(sum(rank) FILTER (WHERE out_degree = 0), 0.0::DOUBLE), {DIGITS}) AS dangling_mass FROM r1",
         "pagerank_k1": rank_1 + f" SELECT userId, round(rank, {DIGITS}) AS rank FROM r1",
         "pagerank": rank_k + f" SELECT userId, round(rank, {DIGITS}) AS rank FROM r{k}",
+        "pagerank_salted": rank_k + f" SELECT userId, round(rank, {DIGITS}) AS rank FROM r{k}",
         "pagerank_top": rank_k
         + f" SELECT userId, round(rank, {DIGITS}) AS rank FROM r{k} ORDER BY rank DESC, userId ASC LIMIT {TOP_N}",
         "pagerank_mass_check": rank_k + f" SELECT round(sum(rank), {DIGITS}) AS rank_sum FROM r{k}",
@@ -193,16 +211,25 @@ def oracle_sql() -> dict[str, str]:
         + " SELECT userId, topic, offer_freq, offer_user FROM o1",
         "rec_state_k1": _with(*_rec_rounds(1))
         + " SELECT userId, topic, freq, interested, max_freq, max_user FROM s1",
-        "recommendations": rec_k
-        + " SELECT userId, postFrequency, topic, recommendedUserId FROM ("
-        "SELECT userId, max_freq AS postFrequency, topic, max_user AS recommendedUserId, "
-        "row_number() OVER (PARTITION BY userId ORDER BY max_freq DESC, max_user ASC, topic DESC) AS rn "
-        f"FROM s{k} WHERE interested) WHERE rn = 1 AND postFrequency > 0",
+        "rec_state_k10": rec_k + f" SELECT userId, topic, freq, interested, max_freq, max_user FROM s{k}",
+        "recommendations": rec_k + _recommended(k),
+        "recommendations_salted": rec_k + _recommended(k),
         "clean_edges": _clean_edges_sql(),
         "clean_topics": _clean_topics_sql(),
-        "load_edges": _with(("e", EDGES.replace("l_partkey AS destination", "l_partkey AS destination, l_linenumber")))
-        + " SELECT source, destination FROM e WHERE l_linenumber NOT IN (4, 5, 6, 7)",
-        "load_topics": _with(("t", TOPICS))
-        + " SELECT userId, games, movies, music FROM t WHERE NOT (games = 2 OR movies = 4 OR music = 5)",
+        "load_edges": LOADED_EDGES,
+        "load_edges_repartitioned": LOADED_EDGES,
+        "load_topics": LOADED_TOPICS,
+        "parquet_single": _with(("e", EDGES), ("v", VERTS))
+        + " SELECT userId, in_degree AS followerCount, CAST(1 AS BIGINT) AS files FROM v "
+        f"ORDER BY followerCount DESC, userId ASC LIMIT {TOP_N}",
+        "job_network_stats": _with(("e", LOADED_EDGES), ("v", VERTS))
+        + " SELECT 'edge_count' AS metric, count(*) AS value FROM e UNION ALL "
+        "SELECT 'vertex_count' AS metric, count(*) AS value FROM v UNION ALL "
+        "SELECT 'user ' || userId AS metric, in_degree AS value FROM "
+        f"(SELECT userId, in_degree FROM v ORDER BY in_degree DESC, userId ASC LIMIT {TOP_N})",
+        "job_pagerank": _with(*_rank_rounds(k, LOADED_EDGES))
+        + f", t AS (SELECT userId FROM r{k} ORDER BY rank DESC, userId ASC LIMIT {TOP_N})"
+        + f" SELECT userId, round(rank, {DIGITS}) AS rank, userId IN (SELECT userId FROM t) AS top FROM r{k}",
+        "job_recommend": _with(*_rec_rounds(k, LOADED_EDGES, LOADED_TOPICS)) + _recommended(k),
         "parquet_roundtrip": _with(("e", EDGES)) + " SELECT source, destination FROM e",
     }

@@ -61,15 +61,16 @@ def main(sf_dir: str) -> None:
     g = pr.prepare(edges)
     ranks, _ = pr.run(g, 1)
     sections.append(("PageRank round (P2-P5), ranks read from the previous round's bucketed table", pr.step(ranks, g, 0.1, 0.85)))
-    state = rc.initial_state(edges, topics).where("interested")
+    ed = rc.edge_degrees(edges)
+    state = rc.numbered(rc.initial_state(edges, topics, users=ed.degrees.select("userId")).where("interested"))
     current, _, _ = lineage.write_table(
         state.select("*", F.lit(True).alias("improved")), "state", ["userId", "topic"], 8
     )
-    tl = rc.prepare(edges, current)
+    tl = rc.prepare(ed, current)
     sections.append(
         (
             "Recommendation round (R3-R5), frontier and state read from the bucketed state table",
-            rc.update(current.drop("improved"), rc.best_offers(current.where("improved"), tl)),
+            rc.update(current.drop("improved", "max_user"), rc.numbered_offers(current.where("improved"), tl, 1), 1, 8),
         )
     )
     print("# Physical plans\n")

@@ -1,9 +1,10 @@
 """The driver's TPC-H-like tables seen as a follower graph.
 
-``edges``: a customer follows every part it ordered in a quantity above
-45 (``orders`` joined to ``lineitem``).  ``topics``: per customer, the
-number of its orders of priority 1, 2 and 3 as games, movies and music.
-Customer and part ids share one id space, so the graph has cycles.
+``edges``: a customer follows twice the id of every part it ordered
+(``orders`` joined to ``lineitem``, every line).  ``topics``: per customer,
+the number of its orders of priority 1, 2 and 3 as games, movies and music.
+Customers and followed ids share one id space, so the graph has cycles;
+odd ids are followed by nobody, and ids beyond the customers follow nobody.
 """
 
 from __future__ import annotations
@@ -13,20 +14,18 @@ from pyspark.sql import functions as F
 
 # The order priorities read as the three topics.
 PRIORITY_TOPICS = (("games", "1-URGENT"), ("movies", "2-HIGH"), ("music", "3-MEDIUM"))
-QUANTITY_FLOOR = 45
+DESTINATION_FACTOR = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def edges_from(spark: SparkSession, sf_dir: str, quantity_floor: float | None = QUANTITY_FLOOR) -> DataFrame:
+def edges_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    if quantity_floor is not None:
-        items = items.where(F.col("l_quantity") > F.lit(float(quantity_floor)))
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     return orders.join(items, orders.o_orderkey == items.l_orderkey).select(
-        F.col("o_custkey").alias("source"), F.col("l_partkey").alias("destination")
+        F.col("o_custkey").alias("source"), (F.col("l_partkey") * DESTINATION_FACTOR).alias("destination")
     )
 
 

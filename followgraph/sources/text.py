@@ -7,6 +7,7 @@ that the cleaning filters drop.  Bad lines therefore never fail a job.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def input_size(spark: SparkSession, path: str) -> int | None:
             .agg(F.sum("length").alias("bytes"))
             .first()
         )
-    except Exception:  # noqa: BLE001 - an unknown size falls back to 4 * parallelism
+    except AnalysisException:  # no such path: the reader itself will say so
         return None
     return None if row is None or row["bytes"] is None else int(row["bytes"])
 
@@ -107,9 +108,8 @@ def read_edges(
     """Load and clean an edge list.
 
     ``partitions=None`` keeps the scan's own splits (sized by
-    ``spark.sql.files.maxPartitionBytes``); ``"auto"`` hash-partitions by
-    ``source`` into :func:`plan_partitions` of the input size; an int uses
-    that count.
+    ``spark.sql.files.maxPartitionBytes``); ``"auto"`` deals the rows evenly
+    into :func:`plan_partitions` of the input size; an int uses that count.
     """
     validate_path(path, schemes)
     edges = clean_edges(read_tsv(spark, path, EDGE_SCHEMA, header))
@@ -118,7 +118,7 @@ def read_edges(
     if partitions == "auto":
         par = spark.sparkContext.defaultParallelism
         partitions = plan_partitions(input_size(spark, path), par)
-    return edges.repartition(int(partitions), "source")
+    return edges.repartition(int(partitions))
 
 
 def read_topics(

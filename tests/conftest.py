@@ -49,5 +49,6 @@ def topics_df(spark, rows):
     )
 
 
+# The small graph and topics whose results are known.
 GOLDEN_EDGES = [(0, 2), (1, 0), (1, 2), (1, 3), (2, 3)]
 GOLDEN_TOPICS = [(0, 0.2, 5.6, 4.2), (1, 5.3, 3.7, 1.0), (2, 4.5, 2.4, 3.1), (3, 2.5, 3.5, 4.0)]

@@ -48,7 +48,7 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, dict]:
     qs, sql = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     report = {}
-    for name in names or list(qs):
+    for name in names or list(sql):
         t0 = time.time()
         df = qs[name](spark, sf_dir)
         s_cols = df.columns

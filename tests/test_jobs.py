@@ -4,10 +4,11 @@ import uuid
 import pytest
 
 from followgraph.jobs import network_stats, pagerank, recommend
+from tests.conftest import GOLDEN_EDGES, GOLDEN_TOPICS
 from tests.test_pagerank import GOLDEN_RANKS
 
-REF_EDGES = "0\t2\n1\t0\n1\t2\n1\t3\n2\t3\n"
-REF_TOPICS = "userId  games   movies  music\n0\t0.200\t5.600\t4.200\n1\t5.300\t3.700\t1.000\n2\t4.500\t2.400\t3.100\n3\t2.500\t3.500\t4.000\n"
+REF_EDGES = "".join(f"{a}\t{b}\n" for a, b in GOLDEN_EDGES)
+REF_TOPICS = "userId  games   movies  music\n" + "".join("\t".join(map(str, r)) + "\n" for r in GOLDEN_TOPICS)
 
 
 @pytest.fixture()
@@ -27,6 +28,17 @@ def test_usage_exits_1():
         assert e.value.code == 1
 
 
+def test_main_exit_codes(spark, inputs, monkeypatch):
+    """A job that fails ends with 1, one without arguments too."""
+    for job, argv in ((pagerank, [os.path.join(inputs, "none"), inputs]), (recommend, [os.path.join(inputs, "none")] * 3), (pagerank, []), (recommend, [])):
+        monkeypatch.setattr("sys.argv", ["job", *argv])
+        with pytest.raises(SystemExit) as e:
+            job.main()
+        assert e.value.code == 1
+    monkeypatch.setattr("sys.argv", ["job", os.path.join(inputs, "graph"), os.path.join(inputs, "main-out"), "1", "2"])
+    assert pagerank.main() is None
+
+
 def test_network_stats_job(spark, inputs):
     out = os.path.join(inputs, "out")
     network_stats.run(spark, [os.path.join(inputs, "graph"), out, "2"])

@@ -15,8 +15,8 @@ def test_all_queries_match_duckdb(spark):
     report = compare(spark, SF, verbose=False)
     bad = {k: v for k, v in report.items() if not v["ok"]}
     assert not bad, bad
-    assert report["pagerank"]["rows"][0] == 196
-    assert report["parquet_roundtrip"]["rows"][0] == 590
+    assert report["pagerank"]["rows"][0] == 275
+    assert report["parquet_roundtrip"]["rows"][0] == 6000
 
 
 def test_entry_smoke(spark):
@@ -25,4 +25,5 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
     assert df.columns == ["userId", "rank"] and len(rows) == 100
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert {"pagerank", "recommendations", "job_pagerank"} <= set(entry.oracle_sql())
