@@ -133,5 +133,3 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
-
-ORACLE: dict[str, str] = {}
