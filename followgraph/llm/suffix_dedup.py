@@ -105,7 +105,8 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         best = sliding(np.maximum, np.concatenate([edge, low, edge]), width)
         at = np.flatnonzero(best == gram)
         text = np.searchsorted(end, at, side="right")
-        parts.append((text + a, at - np.concatenate(([0], end))[text], gram[at]))
+        # Anchors have small hashes; mixed once more, they spread evenly over the buckets.
+        parts.append((text + a, at - np.concatenate(([0], end))[text], arrays.mix(gram[at])))
     if not parts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
