@@ -1,19 +1,28 @@
 """Operator 8, quality rules: n-gram perplexity with language-specific bands.
 
-Texts are read as symbols from a fixed alphabet of 32 (letters without
-case, space, line end, digit, sentence mark, other ASCII mark, byte of a
-character beyond ASCII).  Spark counts all runs of four over all documents;
-from them a modified Kneser-Ney model is built (three discounts for each
-order, continuation counts below the highest, uniform at the end) and kept
-as sorted arrays of hashes with their values.  There are at most 32 ** 4
-such runs, so the counts a driver sees and the broadcast model are bounded
-at about 20 MB whatever the input; the counts themselves cover every text.
-
-A document's score is the mean negative logarithm per symbol over its whole
+The language model is an interpolated modified Kneser-Ney model over runs of
+``BYTES`` real bytes (case, marks and the bytes of every script count as they
+are).  Spark counts the runs of all documents; the shorter orders down to
+``LOWEST`` (continuation counts), the discounts and the weights of contexts
+are grouped sums, so the model grows with the input and never passes through
+the driver.  Below the lowest order stands a class model: runs of four symbols
+of a fixed alphabet of 32 (letters without case, space, line end, digit,
+sentence mark, other ASCII mark, byte beyond ASCII) times the share of the
+byte in its symbol.  It only smooths what no order has seen; it has at most
+32 ** 4 runs, which is what the driver collects and broadcasts.
+
+As every text is part of the counts, each run is judged as if it occurred
+once less: a run that occurs nowhere else falls to the shorter orders, so
+noise does not vouch for itself.
+
+Scoring: blocks of documents send their distinct runs to buckets of the
+model, which is kept in the shared folder, and get the surprise of each.
+
+A document's score is the mean negative logarithm per byte over its whole
 text.  For each language (null is one of its own) the quartiles of the
 scores, each text counting once, give the band: ``FENCE`` quartile ranges
 (at least ``LEAST`` each) below the lower to above the upper quartile.  A
-text outside its language's band is rejected; one without symbols has no
+text outside its language's band is rejected; one without bytes has no
 score and is not rejected for it.
 
 :func:`rules` adds the counts of the base rules.  Null texts count as
@@ -27,13 +36,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from followgraph.llm import arrays, scratch, ship
 
+BYTES, LOWEST = 6, 4
 ORDER = 4
 BITS = 5
+BLOCK_BYTES = 8 << 20
+HELD = 1 << 22  # distinct runs that a task counts before it sends them
+LEAST_CUT = 0.05
+PRIME = 2**31 - 1  # runs are dealt to buckets by their remainder
 FENCE = 3.0
 LEAST = 0.03
 WINDOW = 5
@@ -61,23 +75,28 @@ ALPHABET = alphabet()
 SIZE = 1 << BITS * ORDER
 
 
-def codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The run of ``ORDER`` symbols that ends at each byte of each text (line
+def codes(texts: list[bytes], order: int = ORDER, symbols: np.ndarray = ALPHABET, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """The run of ``order`` symbols that ends at each byte of each text (line
     ends stand before the first), and where each text's runs begin."""
-    gap = b"\n" * (ORDER - 1)
-    symbol = ALPHABET[np.frombuffer(gap + gap.join(texts), dtype=np.uint8)]
-    n = len(symbol) - ORDER + 1
-    code = np.zeros(n, dtype=np.int32)
-    for j in range(ORDER):
-        code = (code << BITS) | symbol[j : j + n]
+    gap = b"\n" * (order - 1)
+    symbol = symbols[np.frombuffer(gap + gap.join(texts), dtype=np.uint8)]
+    n = len(symbol) - order + 1
+    code = np.zeros(n, dtype=np.int32 if bits * order < 32 else np.int64)
+    for j in range(order):
+        code = (code << bits) | symbol[j : j + n]
     length = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    begin = np.concatenate(([0], np.cumsum(length + ORDER - 1)))[:-1]
+    begin = np.concatenate(([0], np.cumsum(length + order - 1)))[:-1]
     inside = np.zeros(n + 1, dtype=np.int32)
     np.add.at(inside, begin, 1)
     np.add.at(inside, np.minimum(begin + length, n), -1)
     return code[np.cumsum(inside[:n]) > 0], np.concatenate(([0], np.cumsum(length)))
 
 
+def byte_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`codes` of runs of ``BYTES`` bytes, as they are."""
+    return codes(texts, BYTES, np.arange(256), 8)
+
+
 def counted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``code, n``: how often each run of symbols occurs in all texts.  A task
     sends one row for each run it has met (at most 32 ** 4)."""
@@ -100,6 +119,13 @@ def hashed(code: np.ndarray, order: int) -> np.ndarray:
     return arrays.mix(code.astype(np.uint64) + (np.uint64(order) << np.uint64(40)))
 
 
+def discounts(of: list[float]) -> list[float]:
+    """Discounts of counts 1, 2 and from 3 on, by how many runs occur 1 to 4
+    times; never zero, so that every context leaves some weight."""
+    share = of[0] / (of[0] + 2 * of[1]) if of[0] else 0.5
+    return [max(LEAST_CUT, min(c, c - (c + 1) * share * of[c] / of[c - 1])) if of[c - 1] else 0.5 for c in (1, 2, 3)]
+
+
 class KneserNey:
     """Interpolated modified Kneser-Ney over codes of symbols.
 
@@ -111,16 +137,13 @@ class KneserNey:
     def __init__(self, code: np.ndarray, n: np.ndarray):
         self.grams: list[tuple[np.ndarray, np.ndarray]] = []
         self.contexts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.memo: np.ndarray | None = None
         levels = [(code.astype(np.int64), n.astype(np.float64))]
         for order in range(ORDER - 1, 0, -1):
             # Continuation counts: how many different symbols stand before the shorter run.
             short, seen = np.unique(levels[-1][0] & ((1 << BITS * order) - 1), return_counts=True)
             levels.append((short, seen.astype(np.float64)))
         for order, (gram, count) in zip(range(1, ORDER + 1), reversed(levels), strict=True):
-            of = [float((count == c).sum()) for c in (1, 2, 3, 4)]
-            share = of[0] / (of[0] + 2 * of[1]) if of[0] else 0.5
-            cut = [max(0.0, min(c, c - (c + 1) * share * of[c] / of[c - 1])) if of[c - 1] else 0.5 for c in (1, 2, 3)]
+            cut = discounts([float((count == c).sum()) for c in (1, 2, 3, 4)])
             less = np.select([count == 1, count == 2], cut[:2], cut[2])
             context, at = np.unique(gram >> BITS, return_inverse=True)
             total = np.bincount(at, count, len(context))
@@ -150,33 +173,100 @@ class KneserNey:
             p = own + self._find(self.contexts[order - 1], hashed(short >> BITS, order), 1.0) * p
         return p
 
-    def surprise(self, code: np.ndarray) -> np.ndarray:
-        """Negative logarithms of the probabilities; looked up once for each run."""
-        if self.memo is None:
-            self.memo = np.full(SIZE, np.nan)
-        new = np.unique(code[np.isnan(self.memo[code])])
-        if len(new):
-            self.memo[new] = -np.log(self.probability(new))
-        return self.memo[code]
-
-    def scores(self, texts: list[bytes]) -> list[float | None]:
-        """Mean surprise of each text's symbols; none for empty texts."""
-        code, first = codes(texts)
-        total = np.concatenate(([0.0], np.cumsum(self.surprise(code))))
-        n = np.diff(first)
-        sums = total[first[1:]] - total[first[:-1]]
-        return [float(s / k) if k else None for s, k in zip(sums, n.tolist(), strict=True)]
-
-    def __getstate__(self):
-        return {**self.__dict__, "memo": None}
-
 
 def model(docs: DataFrame, text: str = "text") -> KneserNey:
-    """The model of all texts of ``docs``."""
+    """The class model of all texts of ``docs``."""
     rows = counted(docs, text).toArrow().sort_by("code")
     return KneserNey(rows.column("code").to_numpy(), rows.column("n").to_numpy())
 
 
+def byte_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``code, n``: how often each run of ``BYTES`` bytes occurs in all texts."""
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        key, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        return key, np.bincount(at, np.concatenate([n for _, n in parts]), len(key)).astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            texts = arrays.texts_of(batch.column(0))
+            for a, b in arrays.slices(texts):
+                held.append(np.unique(byte_codes(texts[a:b])[0], return_counts=True))
+                if sum(len(k) for k, _ in held) > HELD:
+                    held = [merged(held)]
+                    if len(held[0][0]) > HELD // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], ["code", "n"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in merged(held)], ["code", "n"])
+
+    ship.package(docs.sparkSession)
+    parts = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(run, "code long, n long")
+    return parts.groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def class_base(fitted: KneserNey, share: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Probability of the last byte of each run of ``LOWEST`` bytes after the
+    others: that of its symbol times its share in the symbol."""
+    run = np.zeros(len(code), dtype=np.int64)
+    for j in range(ORDER - 1, -1, -1):
+        run = (run << BITS) | ALPHABET[(code >> (8 * j)) & 255]
+    return fitted.probability(run) * share[code & 255]
+
+
+def shares(counts: DataFrame) -> np.ndarray:
+    """The share of each byte among those of its symbol, each counted once more."""
+    seen = np.ones(256)
+    for row in counts.groupBy((F.col("code").bitwiseAND(255)).alias("byte")).agg(F.sum("n").alias("n")).collect():  # 256 rows at most
+        seen[row["byte"]] += row["n"]
+    return seen / np.bincount(ALPHABET, seen, 1 << BITS)[ALPHABET]
+
+
+def surprises(counts: DataFrame, fitted: KneserNey) -> DataFrame:
+    """``code, surprise`` of every run in ``counts``, as if it occurred once less.
+
+    ``whole`` is the probability of a run with all counts, ``less`` with one
+    occurrence taken away.  Where that was the only one, the run no longer
+    counts for the next lower order either.
+    """
+    spark = counts.sparkSession
+    levels = [counts]
+    for order in range(BYTES - 1, LOWEST - 1, -1):
+        # Continuation counts: how many different bytes stand before the shorter run.
+        short = F.col("code").bitwiseAND((1 << 8 * order) - 1)
+        levels.append(scratch.keep(levels[-1].groupBy(short.alias("code")).agg(F.count(F.lit(1)).alias("n")), "runs"))
+    share = shares(counts)
+    shared = spark.sparkContext.broadcast((fitted, share))
+
+    @F.arrow_udf("double")
+    def base(code: pa.Array) -> pa.Array:
+        return pa.array(class_base(*shared.value, code.to_numpy(zero_copy_only=False)))
+
+    lower = None
+    for order, level in zip(range(LOWEST, BYTES + 1), reversed(levels), strict=True):
+        of = level.agg(*[F.count_if(F.col("n") == c).alias(f"n{c}") for c in (1, 2, 3, 4)]).first()
+        cut = discounts([float(x) for x in of])
+        near = Window.partitionBy(F.shiftright("code", 8))
+        met = [F.count_if(F.col("n") == c).over(near).alias(f"n{c}") for c in (1, 2)]
+        rows = level.select("code", "n", F.sum("n").over(near).alias("total"), *met, F.count(F.lit(1)).over(near).alias("all"))
+        rows = rows.withColumn("left", F.col("n1") * cut[0] + F.col("n2") * cut[1] + (F.col("all") - F.col("n1") - F.col("n2")) * cut[2])
+        if lower is None:
+            rows = rows.withColumn("whole", base("code")).withColumn("less", F.col("whole"))
+        else:
+            rows = rows.withColumn("short", F.col("code").bitwiseAND((1 << 8 * (order - 1)) - 1)).join(lower, "short")
+
+        def discount(n: Column, cut: list[float] = cut) -> Column:
+            return F.when(n <= 0, 0.0).when(n == 1, cut[0]).when(n == 2, cut[1]).otherwise(cut[2])
+
+        n, total, left = F.col("n"), F.col("total"), F.col("left")
+        whole = (n - discount(n)) / total + left / total * F.col("whole")
+        rest = left - discount(n) + discount(n - 1)
+        below = F.when(n == 1, F.col("less")).otherwise(F.col("whole"))
+        less = F.when(total == 1, F.col("less")).otherwise((n - 1 - discount(n - 1)) / F.nullif(total - 1, F.lit(0)) + rest / F.nullif(total - 1, F.lit(0)) * below)
+        lower = rows.select(F.col("code").alias("short"), whole.alias("whole"), less.alias("less"))
+    return lower.select(F.col("short").alias("code"), (-F.log("less")).cast("float").alias("surprise"))
+
+
 def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of each text."""
     words = arrays.Words(texts)
@@ -214,26 +304,82 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-MEASURES = "struct<" + ",".join(f"{c}:long" for c in COUNTS) + ",surprise:double>"
+MEASURES = "id {}, lang {}, " + ", ".join(f"{c} long" for c in COUNTS) + ", surprise double"
+MESSAGE = "block int, bucket int, codes binary, surprise binary"
 
 
-def measures(docs: DataFrame, fitted: KneserNey, text: str = "text") -> Column:
-    """Struct column: the base counts of a text and its mean surprise."""
-    ship.package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)
+def planes(code: np.ndarray) -> bytes:
+    """Sorted codes byte by byte, the highest bytes first, which compress well."""
+    return code.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - BYTES :].T.tobytes()
+
+
+def unplaned(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // BYTES, 8), dtype=np.uint8)
+    out[:, 8 - BYTES :] = np.frombuffer(data, dtype=np.uint8).reshape(BYTES, -1).T
+    return out.view(">u8").ravel().astype(np.int64)
 
-    @F.arrow_udf(MEASURES)
-    def measured(column: pa.Array) -> pa.Array:
-        texts = arrays.texts_of(column)
+
+def _messages(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["block", "bucket", "codes", "surprise"])
+
+
+def measures(docs: DataFrame, surprise: DataFrame) -> DataFrame:
+    """``id, lang``, the base counts and the mean surprise of each row of
+    ``docs`` (``id, lang, text``), by the ``code, surprise`` of all its runs."""
+    ship.package(docs.sparkSession)
+    data = docs.withColumn("text", F.col("text").cast("binary"))
+    size = data.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    data = data.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
+    shards = surprise.withColumn("bucket", (F.col("code") % PRIME % blocks).cast("int"))
+    kinds = dict(docs.dtypes)
+
+    def asked(table: pa.Table) -> pa.Table:
+        texts = arrays.texts_of(table.column("text"))
+        met = [np.unique(byte_codes(texts[a:b])[0]) for a, b in arrays.slices(texts)]
+        code = np.unique(np.concatenate(met))
+        bucket = code % PRIME % blocks
+        order = np.argsort(bucket, kind="stable")
+        met, first = np.unique(bucket[order], return_index=True)
+        block = table.column("block")[0].as_py()
+        return _messages([(block, int(b), planes(code[x]), None) for b, x in zip(met, np.split(order, first[1:]), strict=True)] if len(code) else [])
+
+    def answered(table: pa.Table, shard: pa.Table) -> pa.Table:
+        code, value = shard.column("code").to_numpy(), shard.column("surprise").to_numpy()
+        order = np.argsort(code)
+        code, value = code[order], value[order]
+        out = []
+        for block, bucket, data in zip(*(table.column(c).to_pylist() for c in ("block", "bucket", "codes")), strict=True):
+            wanted = unplaned(data)
+            at = np.searchsorted(code, wanted)
+            if at[-1] >= len(code) or (code[at] != wanted).any():
+                raise ValueError("the texts changed while they were read")
+            out.append((block, bucket, data, value[at].tobytes()))
+        return _messages(out)
+
+    def judged(table: pa.Table, replies: pa.Table) -> pa.Table:
+        texts = arrays.texts_of(table.column("text"))
+        code = np.concatenate([np.zeros(0, np.int64), *map(unplaned, replies.column("codes").to_pylist())])
+        value = np.frombuffer(b"".join(replies.column("surprise").to_pylist()), dtype=np.float32)
+        order = np.argsort(code)
+        code, value = code[order], value[order].astype(np.float64)
         parts: dict[str, list] = {c: [] for c in [*COUNTS, "surprise"]}
         for a, b in arrays.slices(texts):
             for name, values in base_counts(texts[a:b]).items():
                 parts[name] += values.tolist()
-            parts["surprise"] += shared.value.scores(texts[a:b])
-        kinds = [pa.array(parts[c], pa.int64()) for c in COUNTS]
-        return pa.StructArray.from_arrays([*kinds, pa.array(parts["surprise"], pa.float64())], names=[*COUNTS, "surprise"])
+            runs, first = byte_codes(texts[a:b])
+            met, at = np.unique(runs, return_inverse=True)
+            each = value[np.searchsorted(code, met)][at]
+            for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                parts["surprise"].append(float(each[x:y].sum() / (y - x)) if y > x else None)
+        columns = [*(pa.array(parts[c], pa.int64()) for c in COUNTS), pa.array(parts["surprise"], pa.float64())]
+        return pa.table([table.column("id"), table.column("lang"), *columns], names=["id", "lang", *COUNTS, "surprise"])
 
-    return measured(F.col(text).cast("binary"))
+    asks = data.groupBy("block").applyInArrow(asked, MESSAGE)
+    replies = asks.groupBy("bucket").cogroup(shards.groupBy("bucket")).applyInArrow(answered, MESSAGE)
+    return data.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(judged, MEASURES.format(kinds["id"], kinds["lang"]))
 
 
 def bands(scored: DataFrame) -> DataFrame:
@@ -248,8 +394,8 @@ def bands(scored: DataFrame) -> DataFrame:
 def rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """``key``, the base counts, ``surprise``, ``base_failed`` and ``kept`` of every row."""
     rows = docs.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    measured = rows.select("id", "lang", measures(docs, model(rows), "text").alias("m")).select("id", "lang", "m.*")
-    measured = scratch.keep(measured, "measures")
+    counts = scratch.keep(byte_counts(rows), "runs")
+    measured = scratch.keep(measures(rows, scratch.keep(surprises(counts, model(rows)), "surprises")), "measures")
     band = bands(measured).withColumnRenamed("lang", "l")
     judged = measured.join(band, F.col("lang").eqNullSafe(F.col("l")), "left")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
