@@ -16,7 +16,8 @@ once less: a run that occurs nowhere else falls to the shorter orders, so
 noise does not vouch for itself.
 
 Scoring: blocks of documents send their distinct runs to buckets of the
-model, which is kept in the shared folder, and get the surprise of each.
+model, which is kept in the shared folder, and get the surprise of each,
+rounded to ``1 / GRAIN`` (scores count in thousandths below).
 
 A document's score is the mean negative logarithm per byte over its whole
 text.  For each language (null is one of its own) the quartiles of the
@@ -32,6 +33,7 @@ result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +46,9 @@ from followgraph.llm import arrays, scratch, ship
 BYTES, LOWEST = 6, 4
 ORDER = 4
 BITS = 5
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
+PIECE_BYTES = 512 << 10  # consecutive rows that are dealt together
+GRAIN = 1024  # surprises are kept in steps of 1 / GRAIN
 HELD = 1 << 22  # distinct runs that a task counts before it sends them
 LEAST_CUT = 0.05
 PRIME = 2**31 - 1  # runs are dealt to buckets by their remainder
@@ -180,12 +184,57 @@ def model(docs: DataFrame, text: str = "text") -> KneserNey:
     return KneserNey(rows.column("code").to_numpy(), rows.column("n").to_numpy())
 
 
+def planes(x: np.ndarray, width: int) -> bytes:
+    """Numbers of ``width`` bytes byte by byte, the highest bytes first, compressed."""
+    data = x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width :].T.tobytes()
+    return len(x).to_bytes(4, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unplaned(data: bytes, width: int) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, 8 - width :] = np.frombuffer(pa.decompress(data[4:], n * width, codec="zstd", asbytes=True), dtype=np.uint8).reshape(width, n).T
+    return out.view(">u8").ravel().astype(np.int64)
+
+
+def packed(code: np.ndarray) -> bytes:
+    """Sorted codes, by their differences."""
+    return planes(np.diff(code, prepend=0), BYTES)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(unplaned(data, BYTES))
+
+
+def dealt(code: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket with places of sorted codes in it, in order."""
+    bucket = code % PRIME % buckets
+    order = np.argsort(bucket, kind="stable")
+    met, first = np.unique(bucket[order], return_index=True)
+    return zip(met.tolist(), np.split(order, first[1:]) if len(code) else [], strict=True)
+
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of all ``(codes, counts)`` with their summed counts."""
+    code, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    total = np.zeros(len(code), dtype=np.int64)
+    np.add.at(total, at, np.concatenate([n for _, n in parts]))
+    return code, total
+
+
+def blocks_of(docs: DataFrame, text: str = "text") -> int:
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("binary"))).alias("n")).first()["n"] or 0
+    return max(1, -(-size // BLOCK_BYTES))
+
+
 def byte_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``code, n``: how often each run of ``BYTES`` bytes occurs in all texts."""
+    buckets = blocks_of(docs, text)
 
-    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        key, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        return key, np.bincount(at, np.concatenate([n for _, n in parts]), len(key)).astype(np.int64)
+    def rows(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        out = [(b, packed(code[x]), planes(n[x], 8)) for b, x in dealt(code, buckets)]
+        columns = list(zip(*out, strict=True)) if out else [[]] * 3
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "codes", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -196,13 +245,19 @@ def byte_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 if sum(len(k) for k, _ in held) > HELD:
                     held = [merged(held)]
                     if len(held[0][0]) > HELD // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], ["code", "n"])
+                        yield rows(*held.pop())
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in merged(held)], ["code", "n"])
+            yield rows(*merged(held))
+
+    def summed(table: pa.Table) -> pa.Table:
+        parts = [(unpacked(c), unplaned(n, 8)) for c, n in zip(table.column("codes").to_pylist(), table.column("counts").to_pylist(), strict=True)]
+        while len(parts) > 1:  # a few at a time, so that only distinct runs are held
+            parts = [merged(parts[:8]), *parts[8:]]
+        return pa.table([pa.array(x, pa.int64()) for x in parts[0]], names=["code", "n"])
 
     ship.package(docs.sparkSession)
-    parts = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(run, "code long, n long")
-    return parts.groupBy("code").agg(F.sum("n").alias("n"))
+    parts = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(run, "bucket int, codes binary, counts binary")
+    return parts.groupBy("bucket").applyInArrow(summed, "code long, n long")
 
 
 def class_base(fitted: KneserNey, share: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -223,7 +278,8 @@ def shares(counts: DataFrame) -> np.ndarray:
 
 
 def surprises(counts: DataFrame, fitted: KneserNey) -> DataFrame:
-    """``code, surprise`` of every run in ``counts``, as if it occurred once less.
+    """``code, surprise`` (in steps of ``1 / GRAIN``) of every run in ``counts``,
+    as if it occurred once less.
 
     ``whole`` is the probability of a run with all counts, ``less`` with one
     occurrence taken away.  Where that was the only one, the run no longer
@@ -264,7 +320,7 @@ def surprises(counts: DataFrame, fitted: KneserNey) -> DataFrame:
         below = F.when(n == 1, F.col("less")).otherwise(F.col("whole"))
         less = F.when(total == 1, F.col("less")).otherwise((n - 1 - discount(n - 1)) / F.nullif(total - 1, F.lit(0)) + rest / F.nullif(total - 1, F.lit(0)) * below)
         lower = rows.select(F.col("code").alias("short"), whole.alias("whole"), less.alias("less"))
-    return lower.select(F.col("short").alias("code"), (-F.log("less")).cast("float").alias("surprise"))
+    return lower.select(F.col("short").alias("code"), F.round(-F.log("less") * GRAIN).cast("int").alias("surprise"))
 
 
 def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -308,17 +364,6 @@ MEASURES = "id {}, lang {}, " + ", ".join(f"{c} long" for c in COUNTS) + ", surp
 MESSAGE = "block int, bucket int, codes binary, surprise binary"
 
 
-def planes(code: np.ndarray) -> bytes:
-    """Sorted codes byte by byte, the highest bytes first, which compress well."""
-    return code.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - BYTES :].T.tobytes()
-
-
-def unplaned(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // BYTES, 8), dtype=np.uint8)
-    out[:, 8 - BYTES :] = np.frombuffer(data, dtype=np.uint8).reshape(BYTES, -1).T
-    return out.view(">u8").ravel().astype(np.int64)
-
-
 def _messages(rows: list[tuple]) -> pa.Table:
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -329,22 +374,30 @@ def measures(docs: DataFrame, surprise: DataFrame) -> DataFrame:
     """``id, lang``, the base counts and the mean surprise of each row of
     ``docs`` (``id, lang, text``), by the ``code, surprise`` of all its runs."""
     ship.package(docs.sparkSession)
-    data = docs.withColumn("text", F.col("text").cast("binary"))
-    size = data.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    data = data.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
+    blocks = blocks_of(docs)
     shards = surprise.withColumn("bucket", (F.col("code") % PRIME % blocks).cast("int"))
     kinds = dict(docs.dtypes)
 
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for a, b in arrays.slices(arrays.texts_of(batch.column("text")), PIECE_BYTES):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 4))) as to:
+                    to.write_batch(batch.slice(a, b - a))
+                out.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(x) % blocks for x in out], pa.int32()), pa.array(out, pa.binary())], ["block", "piece"])
+
+    def opened(table: pa.Table) -> pa.Table:
+        return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in table.column("piece").to_pylist()])
+
+    def runs_of(texts: list[bytes]) -> np.ndarray:
+        return np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(byte_codes(texts[a:b])[0]) for a, b in arrays.slices(texts))]))
+
     def asked(table: pa.Table) -> pa.Table:
-        texts = arrays.texts_of(table.column("text"))
-        met = [np.unique(byte_codes(texts[a:b])[0]) for a, b in arrays.slices(texts)]
-        code = np.unique(np.concatenate(met))
-        bucket = code % PRIME % blocks
-        order = np.argsort(bucket, kind="stable")
-        met, first = np.unique(bucket[order], return_index=True)
         block = table.column("block")[0].as_py()
-        return _messages([(block, int(b), planes(code[x]), None) for b, x in zip(met, np.split(order, first[1:]), strict=True)] if len(code) else [])
+        code = runs_of(arrays.texts_of(opened(table).column("text")))
+        return _messages([(block, b, packed(code[x]), None) for b, x in dealt(code, blocks)])
 
     def answered(table: pa.Table, shard: pa.Table) -> pa.Table:
         code, value = shard.column("code").to_numpy(), shard.column("surprise").to_numpy()
@@ -352,19 +405,21 @@ def measures(docs: DataFrame, surprise: DataFrame) -> DataFrame:
         code, value = code[order], value[order]
         out = []
         for block, bucket, data in zip(*(table.column(c).to_pylist() for c in ("block", "bucket", "codes")), strict=True):
-            wanted = unplaned(data)
+            wanted = unpacked(data)
             at = np.searchsorted(code, wanted)
-            if at[-1] >= len(code) or (code[at] != wanted).any():
+            if not len(code) or at[-1] >= len(code) or (code[at] != wanted).any():
                 raise ValueError("the texts changed while they were read")
-            out.append((block, bucket, data, value[at].tobytes()))
+            out.append((block, bucket, None, planes(value[at], 4)))
         return _messages(out)
 
     def judged(table: pa.Table, replies: pa.Table) -> pa.Table:
-        texts = arrays.texts_of(table.column("text"))
-        code = np.concatenate([np.zeros(0, np.int64), *map(unplaned, replies.column("codes").to_pylist())])
-        value = np.frombuffer(b"".join(replies.column("surprise").to_pylist()), dtype=np.float32)
-        order = np.argsort(code)
-        code, value = code[order], value[order].astype(np.float64)
+        docs = opened(table)
+        texts = arrays.texts_of(docs.column("text"))
+        code = runs_of(texts)
+        value = np.zeros(len(code))
+        told = dict(zip(replies.column("bucket").to_pylist(), replies.column("surprise").to_pylist(), strict=True))
+        for bucket, at in dealt(code, blocks):
+            value[at] = unplaned(told[bucket], 4) / GRAIN  # fails if the texts changed while they were read
         parts: dict[str, list] = {c: [] for c in [*COUNTS, "surprise"]}
         for a, b in arrays.slices(texts):
             for name, values in base_counts(texts[a:b]).items():
@@ -375,11 +430,12 @@ def measures(docs: DataFrame, surprise: DataFrame) -> DataFrame:
             for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
                 parts["surprise"].append(float(each[x:y].sum() / (y - x)) if y > x else None)
         columns = [*(pa.array(parts[c], pa.int64()) for c in COUNTS), pa.array(parts["surprise"], pa.float64())]
-        return pa.table([table.column("id"), table.column("lang"), *columns], names=["id", "lang", *COUNTS, "surprise"])
+        return pa.table([docs.column("id"), docs.column("lang"), *columns], names=["id", "lang", *COUNTS, "surprise"])
 
-    asks = data.groupBy("block").applyInArrow(asked, MESSAGE)
+    rows = docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(pieces, "block int, piece binary")
+    asks = rows.groupBy("block").applyInArrow(asked, MESSAGE)
     replies = asks.groupBy("bucket").cogroup(shards.groupBy("bucket")).applyInArrow(answered, MESSAGE)
-    return data.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(judged, MEASURES.format(kinds["id"], kinds["lang"]))
+    return rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(judged, MEASURES.format(kinds["id"], kinds["lang"]))
 
 
 def bands(scored: DataFrame) -> DataFrame:

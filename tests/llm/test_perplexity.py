@@ -109,11 +109,11 @@ def without_one(texts, run):
 def test_byte_model_against_brute_force(spark):
     some = [t.encode() for t in texts(5, 12) if t]
     rows = corpus.frame(spark, [t.decode() for t in some])
-    got = {r["code"]: r["surprise"] for r in P.surprises(P.byte_counts(rows), P.model(rows)).collect()}
+    got = {r["code"]: r["surprise"] / P.GRAIN for r in P.surprises(P.byte_counts(rows), P.model(rows)).collect()}
     codes = np.unique(P.byte_codes(some)[0]).tolist()
     assert sorted(got) == codes
     for code in codes[:: max(1, len(codes) // 60)]:
-        assert abs(got[code] + np.log(without_one(some, code.to_bytes(P.BYTES, "big")))) < 1e-4
+        assert abs(got[code] + np.log(without_one(some, code.to_bytes(P.BYTES, "big")))) < 1 / P.GRAIN
     judged = P.rules(rows).where(F.col("surprise").isNotNull()).collect()
     for r in judged:
         mine = P.byte_codes([some[r["doc_id"]]])[0].tolist()
