@@ -21,7 +21,8 @@ whole in one of them, and passages cover every text to its end.
    line; a single sentence is both.)
 
 Words are runs of letters and digits in lower case.  Null and empty texts
-and items match nothing.  The index goes to the workers in shards of at
+and items match nothing; an item without id is sought like any other and
+reported with a null ``item_id``, before those with one.  The index goes to the workers in shards of at
 most ``SHARD_WORDS`` words of items, each broadcast, so a broadcast is
 bounded however large the benchmark is; the text of one item is never cut.
 """
@@ -222,12 +223,12 @@ class Index:
                     question, answer = (overlap(part, words) for part in group.parts[item])
                     if question >= share and answer >= share:
                         found[text][item] = max(found[text].get(item, (0.0, 0.0, 0.0)), (score, question, answer))
-        return [sorted((self.ids[n], *x) for n, x in row.items()) for row in found]
+        return [sorted(((self.ids[n], *x) for n, x in row.items()), key=lambda x: (x[0] is not None, x[0] or 0, *x[1:])) for row in found]
 
 
 def shards(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Items in order of their ids, at most ``SHARD_WORDS`` words at a time (one item at least)."""
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     held, size = [], 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         n = len(row["text"].split())

@@ -70,3 +70,12 @@ def test_shards(spark, monkeypatch):
     assert len(list(D.shards(table))) == 5
     docs = corpus.frame(spark, [t for _, t in bench]).withColumn("found", D.leaks(table))
     assert {(r["doc_id"], *(x["item_id"] for x in r["found"])) for r in docs.collect()} == {(i, i) for i in range(5)}
+
+
+def test_items_without_id_are_found(spark):
+    rnd = random.Random(7)
+    items = [" ".join(corpus.words(rnd, 20, 10**6)) for _ in range(3)]
+    table = spark.createDataFrame([(None, items[0]), (None, items[1]), (0, items[2])], "item_id long, text string")
+    texts = [items[0], " ".join(items), "clean", items[2]]
+    docs = corpus.frame(spark, texts).withColumn("found", D.leaks(table))
+    assert {r["doc_id"]: [x["item_id"] for x in r["found"]] for r in docs.collect()} == {0: [None], 1: [None, None, 0], 2: [], 3: [0]}
