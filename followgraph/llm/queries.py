@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import cnn, decontaminate, minhash, mixing, paragraphs, perplexity, scratch, secret_scan, suffix_dedup, token_counts, warc
+from followgraph.llm import cnn, conversations, decontaminate, minhash, mixing, paragraphs, perplexity, scratch, secret_scan, suffix_dedup, token_counts, warc
 
 TOKEN_LIMIT = 512
 QUALITY_LINE = 0.7
@@ -121,6 +121,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_LINE).cast("int").alias("predicted"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage: its faults, the cheapest repair and its cost."""
+    turns = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.digest(conversations.repair(turns, turns["present"]))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secret_scan": op2_secret_scan,
@@ -132,4 +138,5 @@ QUERIES = {
     "op8_perplexity": op8_perplexity,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op11_conversations": op11_conversations,
 }
