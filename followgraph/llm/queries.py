@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import cnn, conversations, decontaminate, minhash, mixing, paragraphs, perplexity, scratch, secret_scan, suffix_dedup, token_counts, warc
+from followgraph.llm import cnn, conversations, decontaminate, minhash, mixing, paragraphs, periods, perplexity, scratch, secret_scan, suffix_dedup, token_counts, warc
 
 TOKEN_LIMIT = 512
 QUALITY_LINE = 0.7
@@ -127,6 +127,30 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digest(conversations.repair(turns, turns["present"]))
 
 
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, some of which get a periodic tail first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", periods.planted().alias("text"))
+    found = docs.select("doc_id", periods.collapse(spark).alias("found")).select("doc_id", "found.*")
+    empty = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    # runs come by start and period, so the first of equal ones stays
+    best = F.reduce(
+        "runs", empty, lambda a, x: F.when(a.isNull() | (x["length"] * a["period"] > a["length"] * x["period"]), x).otherwise(a)
+    )
+    listed = F.array_join(F.transform("runs", lambda x: F.concat_ws(",", x["start"], x["length"], x["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secret_scan": op2_secret_scan,
@@ -139,4 +163,5 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
     "op11_conversations": op11_conversations,
+    "op13_periods": op13_periods,
 }
