@@ -12,10 +12,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import cnn, conversations, decontaminate, minhash, mixing, paragraphs, periods, perplexity, scratch, secret_scan, suffix_dedup, token_counts, warc
+from followgraph.llm import cnn, conversations, decontaminate, minhash, mixing, paragraphs, periods, perplexity, scratch, secret_scan, suffix_dedup, token_counts, toxicity, warc
 
 TOKEN_LIMIT = 512
 QUALITY_LINE = 0.7
+TOXIC_LINE = 0.3
 HELD_OUT = 2  # of crc32(doc_id) modulo 4
 
 
@@ -127,6 +128,25 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digest(conversations.repair(turns, turns["present"]))
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """The tagger fitted on the rows of ``labels`` that are not held out."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    seen = labels.where(F.crc32(F.col("doc_id").cast("string")) % 4 != HELD_OUT)
+    return toxicity.train(table(spark, sf_dir, "documents"), seen)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, empty and null texts included, with
+    the offending spans (``start:end`` in code points)."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", toxicity.tagged(docs, toxicity_model(spark, sf_dir)).alias("found")).select("doc_id", "found.*")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == HELD_OUT, F.lit(False))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ",")
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_LINE).cast("int").alias("predicted"), spans.alias("spans")
+    )
+
+
 def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document, some of which get a periodic tail first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", periods.planted().alias("text"))
@@ -163,5 +183,6 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
     "op11_conversations": op11_conversations,
+    "op12_toxicity": op12_toxicity,
     "op13_periods": op13_periods,
 }
