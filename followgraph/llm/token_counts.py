@@ -6,8 +6,8 @@ the last token of the prefix of ``i`` bytes is the one vocabulary entry
 ``t`` that ends there and whose predecessor, the last token of the prefix
 before it, stays next to it when both are merged on their own.  The count
 at ``i`` is then one more than the count before ``t``.  Pieces repeat, so
-each worker remembers the steps of the pieces it has met (at most
-``CACHE`` of them; it starts afresh beyond that, which changes no result).
+each worker remembers the steps of the short pieces it has met (at most
+``CACHE_BYTES`` of them; it starts afresh beyond that, which changes no result).
 
 What is stored for a text is one signed byte for each of its UTF-8 bytes:
 by how much the count changes there.  The running sum is the token count of
@@ -17,7 +17,9 @@ and truncation from it without encoding again.
 
 Null texts count as empty, with no tokens.  Strings of special tokens in a
 text count as one token, as the tokenizer library does by default; their
-proper prefixes are ordinary text.
+proper prefixes are ordinary text.  Texts are counted one by one: repeated
+rows get equal counts, texts of any length and script are counted whole (long
+strings without spaces are not remembered), and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -32,8 +34,11 @@ from pyspark.sql import functions as F
 
 from followgraph.llm import arrays, ship
 
-CACHE = 700_000
-WIDE = 32
+CACHE_BYTES = 96 << 20  # about, with what Python keeps for each string
+KEPT_BYTES = 160  # the same for one piece, besides its own and its steps' bytes
+FITS = 2_000_000
+WIDE = 32  # bytes of a piece that is remembered
+WORD = 64  # characters of a word that is remembered
 SLICE_BYTES = 8 << 20
 
 # Fixed value: the pattern by which byte-level BPE splits text before merging.
@@ -152,6 +157,12 @@ class Counter:
         self.special = regex.compile("|".join(map(regex.escape, sorted(names, key=len, reverse=True)))) if names else None
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.held = 0  # bytes of both
+        # The longest token that ends in each three bytes.
+        self.reach = np.zeros(1 << 24, dtype=np.uint8)
+        for token in sorted(usable, key=len):
+            if len(token) >= 3:
+                self.reach[int.from_bytes(token[-3:], "big")] = min(len(token), 255)
 
     def adjacent(self, a: int, b: int, limit: int = 1 << 60) -> bool:
         """Whether tokens ``a`` and ``b`` meet unmerged up to merge ``limit``.
@@ -184,7 +195,7 @@ class Counter:
                     pair = last[start], token
                     fit = fits.get(pair)
                     if fit is None:
-                        if len(fits) >= 4 * CACHE:
+                        if len(fits) >= FITS:
                             fits.clear()
                         fit = fits[pair] = self.adjacent(*pair)
                     if not fit:
@@ -214,45 +225,48 @@ class Counter:
             todo = todo[out[todo] & (left | (self.made_of[y] >= 0))]
         return out[back]
 
-    def counts_many(self, pieces: list[bytes]) -> list[list[int]]:
-        """:meth:`counts` for many pieces of at most ``WIDE`` bytes, end by end."""
+    def changes_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Changes of the count along many pieces of at most ``WIDE`` bytes, end by end."""
         order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i]))
         length = np.array([len(pieces[i]) for i in order])
         width = int(length[0])
         rows = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in order), dtype=np.uint8).reshape(-1, width)
         prefix = _prefix_hashes(rows)
         last = np.full((len(rows), width + 1), -1)
-        count = np.zeros((len(rows), width + 1), dtype=np.int64)
+        count = np.zeros((len(rows), width + 1), dtype=np.int8)
         for end in range(1, width + 1):
             todo = np.arange(np.searchsorted(-length, -end, side="right"))
-            for size in range(min(end, self.longest), 0, -1):
+            size = np.full(len(todo), min(end, 2))
+            if end > 2:
+                tail = rows[todo, end - 3 : end].astype(np.int32)
+                size = np.clip(self.reach[(tail[:, 0] << 16) | (tail[:, 1] << 8) | tail[:, 2]].astype(np.int64), 2, min(end, self.longest))
+            while len(todo):
                 start = end - size
                 token = self.id_table.get(prefix[todo, end] - prefix[todo, start] * self.power[size], -1)
                 hit = np.flatnonzero(token >= 0)
-                if start and len(hit):
-                    hit = hit[self.adjacent_many(last[todo[hit], start], token[hit])]
-                at = todo[hit]
-                last[at, end] = token[hit]
-                count[at, end] = count[at, start] + 1
-                todo = np.delete(todo, hit)
-                if not len(todo):
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
-        out: list[list[int]] = [[]] * len(pieces)
-        for i, n, row in zip(order, length.tolist(), count[:, 1:].tolist(), strict=True):
-            out[i] = row[:n]
+                inner = hit[start[hit] > 0]
+                good = token >= 0
+                good[inner] = self.adjacent_many(last[todo[inner], start[inner]], token[inner])
+                at = todo[good]
+                last[at, end] = token[good]
+                count[at, end] = count[at, start[good]] + 1
+                todo, size = todo[~good], size[~good] - 1
+                if len(size) and not size.all():
+                    raise ValueError("the vocabulary lacks a byte")
+        data = np.diff(count, axis=1).tobytes()
+        out: list[bytes] = [b""] * len(pieces)
+        for at, (i, n) in enumerate(zip(order, length.tolist(), strict=True)):
+            out[i] = data[at * width : at * width + n]
         return out
 
     def learn(self, pieces: set[str]) -> None:
-        """Remember the steps of these pieces."""
-        if len(self.known) >= CACHE:
-            self.known.clear()
-        new = [(p, d) for p in pieces if p not in self.known and len(d := p.encode()) <= WIDE and not CONTRACTION(p)]
+        """Remember the steps of these pieces, as far as they are short."""
+        known = self.known
+        new = [(p, d) for p in pieces if p not in known and len(d := p.encode()) <= WIDE and not (p[0] == "'" and CONTRACTION(p))]
         for at in range(0, len(new), 50_000):
             part = new[at : at + 50_000]
-            for (piece, _), count in zip(part, self.counts_many([d for _, d in part]), strict=True):
-                self.known[piece] = _changes(count)
+            known.update(zip([p for p, _ in part], self.changes_many([d for _, d in part]), strict=True))
+            self.held += sum(KEPT_BYTES + 2 * len(d) for _, d in part)
 
     def steps(self, piece: str) -> bytes:
         """Changes of the count along a piece, one signed byte each."""
@@ -267,6 +281,7 @@ class Counter:
             found = _changes(count)
             if len(data) <= WIDE:
                 self.known[piece] = found
+                self.held += KEPT_BYTES + 2 * len(data)
         return found
 
     def plain_deltas(self, text: str) -> bytes:
@@ -320,24 +335,37 @@ class Counter:
 
         A text is cut before every single space, where a new piece always
         begins; the cut pieces, too, are remembered.  Texts with white space
-        in front of a space, or with special tokens, go the longer way.
+        in front of a space, special tokens or long words go the longer way.
         """
-        if len(self.words) >= CACHE:
+        if self.held > CACHE_BYTES:
             self.words.clear()
+            self.known.clear()
+            self.held = 0
         cut = [text.split(" ") for text in texts]
         new: set[str] = set()
         for words in cut:
-            new.update(set(words[1:]).difference(self.words))
-        plain = {w: self.pieces.findall(" " + w) for w in new if w and not w[-1].isspace()}
+            new.update(words[1:])
+        new = {w for w in new if w not in self.words}
+        odd = {w for w in new if not w or len(w) > WORD or w[-1].isspace()}
+        plain = {w: self.pieces.findall(" " + w) for w in new - odd}
         pieces = {p for found in plain.values() for p in found}
         slow = []
         for i, words in enumerate(cut):
-            apart = "" in words or words[0][-1:].isspace() or not all(w in self.words or w in plain for w in set(words[1:]))
+            apart = words[0][-1:].isspace() or len(words[0]) > WORD or not odd.isdisjoint(words[1:])
             slow.append(apart or bool(self.special and self.special.search(texts[i])))
-            pieces.update(self.pieces.findall(texts[i] if slow[-1] else words[0]))
+            if not slow[-1]:
+                pieces.update(self.pieces.findall(words[0]))
+        for text, apart in zip(texts, slow, strict=True):
+            if apart and len(text) < 1 << 20:  # longer ones repeat enough pieces of their own
+                pieces.update(self.pieces.findall(text))
         self.learn(pieces)
-        for w in plain:
-            self.words[w] = self.plain_deltas(" " + w)
+        steps, known = self.steps, self.known.get
+        for w, found in plain.items():
+            if w.isalnum() or not self.double.search(" " + w):
+                self.words[w] = whole = b"".join([known(p) or steps(p) for p in found])
+            else:
+                self.words[w] = whole = self.plain_deltas(" " + w)
+            self.held += KEPT_BYTES + 2 * len(whole)
         known = self.words.__getitem__
         out = []
         for text, words, apart in zip(texts, cut, slow, strict=True):
