@@ -251,12 +251,16 @@ def resolved(members: DataFrame, docs: DataFrame, k: int, threshold: int) -> Dat
     return ready.mapInArrow(run, "a long, b long")
 
 
-def linked(reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int, rows: int, more: DataFrame | None = None) -> DataFrame:
+def linked(
+    reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int, rows: int, more: DataFrame | None = None, settle: bool = True
+) -> DataFrame:
     """``node, component`` of the documents that are linked with others.
 
     ``reps`` has ``doc_id, sig`` (``bands * rows`` minima) of documents with
     different shingle sets, ``docs`` their ``doc_id, text``; ``more`` adds
-    links ``a, b`` known before.
+    links ``a, b`` known before.  Without ``settle``, step 5 is left out: a
+    link is found where a bucket's smallest or most linked member is at one end
+    of it, or other links join the two; ``docs`` then are the texts compared.
     """
     width = 4 * rows
     cut = reps.select("doc_id", "sig", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
@@ -266,7 +270,8 @@ def linked(reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int,
     # The texts that are compared at all, fetched once.
     wanted = hits.select("doc").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    texts = scratch.keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi"), "texts")
+    if settle:
+        texts = scratch.keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi"), "texts")
     pairs = scratch.keep(hits.where("pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = scratch.keep(verified(pairs, texts, k, threshold), "links")
 
@@ -279,6 +284,9 @@ def linked(reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int,
     again = again.join(pairs, ["a", "b"], "left_anti")
     links = links.unionByName(scratch.keep(verified(again, texts, k, threshold), "links"))
     first = components(links.unionByName(more) if more is not None else links)
+    if not settle:
+        scratch.forget(hits, pairs, links)
+        return first
 
     # Buckets that still touch several components: what shares such a bucket's smallest is compared.
     state = hits.join(first, hits.doc == first.node, "left").select("key", "pivot", "doc", F.coalesce("component", "doc").alias("component"))

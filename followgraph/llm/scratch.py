@@ -30,11 +30,35 @@ def new(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back."""
-    path = new(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` below the shared folder and read it back.
+
+    Once it is written its shuffle files are of no more use, so Spark is told
+    to delete them at the write's end instead of when the driver collects garbage.
+    """
+    spark = df.sparkSession
+    path = new(spark, name)
+    before = spark.conf.get(TIDY, "false")
+    spark.conf.set(TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(TIDY, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the folders below the shared one that these frames, made by
+    :func:`keep`, read; nothing may read them later."""
+    for df in frames:
+        own = f"{folder(df.sparkSession)}/llm/"
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            at = path.rfind(own.split(":", 1)[-1].lstrip("/"))
+            if at >= 0:
+                remove(df.sparkSession, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
