@@ -1,9 +1,11 @@
 """Operator 7, WARC: a deterministic sharded writer, and a reader.
 
-Records are dealt to shards by ranges of their id.  The ranges depend on the
-table alone: a grid over the ids holds the payload bytes of each cell, and
-shards are runs of cells.  Within a shard the records are sorted, so the
-same table gives the same files, byte for byte, on any cluster.  A file is
+Records are dealt to shards by ranges of their id and, within one id, of their
+payload's digest.  The bounds are exact quantiles of the bytes before each
+record in that order, a prefix sum over range-sorted partitions, so they
+depend on the table alone: not on the spread of the ids, nor on how Spark cut
+the partitions.  Within a shard the records are sorted, so the same table
+gives the same files, byte for byte, on any cluster.  A file is
 closed when its compressed size reaches ``roll`` bytes.  Each record is a
 gzip member with headers and digests made anew.
 
@@ -33,16 +35,19 @@ import uuid
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from followgraph.llm import ship
+from followgraph.llm import scratch, ship
 
 SHARD_BYTES = 16 << 20
-MOST_SHARDS = 4096
-CELLS = 1 << 16  # rows of the grid that come to the driver, and of the broadcast map, at most
+#: Bounds that come to the driver and are broadcast, at most (61 bytes each): beyond
+#: as many shards, which are as many tasks, shards are larger than ``SHARD_BYTES``.
+BOUNDS = 1 << 20
+HEAD_BYTES = 400  # of a record, besides its payload
 ROLL_BYTES = 4 << 20
 DATE = "1970-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -54,6 +59,8 @@ def opened(folder: str) -> tuple[fs.FileSystem, str]:
     if "://" not in folder and ":" in folder.split("/")[0]:
         scheme, path = folder.split(":", 1)  # file:/x
         folder = f"{scheme}://{path}"
+    if folder.startswith(("s3a://", "s3n://")):  # other names of the same store
+        folder = f"s3://{folder[6:]}"
     return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
 
 
@@ -122,23 +129,53 @@ class Roller:
             self.part, self.out = self.part + 1, None
 
 
+def place(page_id: Column, sha: Column) -> Column:
+    """Text that sorts as ``(page_id, sha)`` does, null ids last."""
+    number = (page_id.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string")
+    return F.concat(F.when(page_id.isNull(), "1").otherwise("0"), F.lpad(F.coalesce(number, F.lit("")), 20, "0"), sha)
+
+
+def bounds(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[str]:
+    """The least :func:`place` of each shard but the first, of ``rows`` (``page_id,
+    sha, size``): a shard begins where the bytes before it pass a multiple of
+    its size.  Copies of one payload under one id stay together (all but the
+    first are records without payload)."""
+    weights = rows.groupBy(place(F.col("page_id"), F.col("sha")).alias("place"))
+    weights = weights.agg((F.max("size") + F.lit(HEAD_BYTES) * F.count(F.lit(1))).alias("bytes"))
+    # Whatever the ranges that Spark samples are, the sum of all bytes before a record is the same.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    weights = scratch.keep(weights.repartitionByRange(parts, "place").withColumn("part", F.spark_partition_id()), "places")
+    sums = sorted((r["part"], r["bytes"]) for r in weights.groupBy("part").agg(F.sum("bytes").alias("bytes")).collect())
+    total = sum(n for _, n in sums)
+    size = max(shard_bytes, -(-total // BOUNDS))
+    before, offsets = 0, []
+    for part, n in sums:
+        offsets.append((part, before))
+        before += n
+    if total <= size:
+        return []
+    offset = F.broadcast(rows.sparkSession.createDataFrame(offsets, "part int, offset long"))  # a row for each partition
+    here = Window.partitionBy("part").orderBy("place")
+    upto = F.coalesce(F.sum("bytes").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("offset")
+    shard = weights.join(offset, "part").select("part", "place", F.floor(upto / F.lit(size)).alias("shard"))
+    new = shard.withColumn("old", F.lag("shard").over(here)).where("old is null or old <> shard")
+    first: dict[int, str] = {}
+    for r in new.orderBy("place").collect():  # BOUNDS rows and one for each partition at most
+        first.setdefault(r["shard"], r["place"])
+    return list(first.values())[1:]
+
+
 def _shards(rows: DataFrame) -> tuple[DataFrame, int]:
-    """``rows`` with ``shard`` by ranges of ``page_id`` of about equal bytes, and the number of shards."""
-    spark = rows.sparkSession
-    whole = rows.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high"), F.sum(F.octet_length("payload")).alias("bytes")).first()
-    count = max(1, min(MOST_SHARDS, -(-(whole["bytes"] or 0) // SHARD_BYTES)))
-    low, high = whole["low"] or 0, whole["high"] or 0
-    cells = min(CELLS, 16 * count)
-    step = float(high - low + 1) / cells
-    cell = F.coalesce(F.least(F.floor((F.col("page_id") - F.lit(low)) / F.lit(step)), F.lit(cells - 1)), F.lit(cells - 1)).cast("int")
-    grid = rows.groupBy(cell.alias("cell")).agg(F.sum(F.octet_length("payload") + 400).alias("bytes")).orderBy("cell").collect()
-    total, seen, shard_of = sum(r["bytes"] for r in grid), 0, []
-    for r in grid:
-        shard_of.append((r["cell"], min(count - 1, seen * count // max(1, total))))
-        seen += r["bytes"]
-    # One row per cell: at most CELLS.
-    names = F.broadcast(spark.createDataFrame(shard_of, "cell int, shard int"))
-    return rows.withColumn("cell", cell).join(names, "cell").drop("cell"), count
+    """``rows`` (``page_id, sha, payload``) with ``shard``, and the number of shards."""
+    edges = bounds(rows.select("page_id", "sha", F.octet_length("payload").alias("size")))
+    shared = rows.sparkSession.sparkContext.broadcast(np.array(edges, dtype="S61"))
+
+    @F.arrow_udf("int")
+    def shard(places: pa.Array) -> pa.Array:
+        at = np.array(places.to_pylist(), dtype="S61")
+        return pa.array(np.searchsorted(shared.value, at, side="right").astype(np.int32))
+
+    return rows.withColumn("shard", shard(place(F.col("page_id"), F.col("sha")))), len(edges) + 1
 
 
 def write(pages: DataFrame, folder: str, least: int = 0, roll: int = ROLL_BYTES) -> DataFrame:

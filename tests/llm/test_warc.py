@@ -83,3 +83,41 @@ def test_null_and_repeated_ids(spark):
 def test_empty_table(spark):
     _, manifest, back = round_trip(spark, [])
     assert manifest.count() == 0 and back.agg(F.count(F.lit(1))).first()[0] == 0
+
+
+def shard_sizes(manifest):
+    out = {}
+    for r in manifest.collect():
+        out[r["shard"]] = out.get(r["shard"], 0) + r["records"]
+    return [out[k] for k in sorted(out)]
+
+
+def test_signed_hash_ids_outliers_and_one_large_id_give_even_shards(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 40_000)
+    monkeypatch.setattr(warc.bounds, "__defaults__", (40_000,))
+    rnd = random.Random(7)
+    body = lambda: rnd.randbytes(500).hex()
+    signed = [(rnd.randrange(-(1 << 63), 1 << 63), None, body()) for _ in range(300)] + [(-(1 << 63), "a", "x"), ((1 << 63) - 1, "b", "y")]
+    outlier = [(i, None, body()) for i in range(300)] + [(1 << 62, None, body())]
+    one = [(i, None, body()) for i in range(200)] + [(77, None, body()) for _ in range(100)] + [(None, None, body()) for _ in range(30)]
+    for rows in (signed, outlier, one):
+        _, manifest, back = round_trip(spark, rows)
+        sizes = shard_sizes(manifest)
+        assert len(sizes) >= 9 and max(sizes[:-1]) <= 1.5 * min(sizes[:-1])
+        got = sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in back.collect()), key=str)
+        assert got == expected(rows)
+
+
+def test_bounds_do_not_depend_on_the_partitions(spark):
+    rnd = random.Random(8)
+    rows = spark.createDataFrame([(rnd.choice([None, rnd.randrange(-50, 50), rnd.randrange(1 << 60)]), f"{rnd.randrange(1 << 30):040x}", rnd.randrange(900)) for _ in range(500)], "page_id long, sha string, size int")
+    some = warc.bounds(rows, 9_000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        assert warc.bounds(rows.repartition(11), 9_000) == some and len(some) > 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    ids = [r["p"] for r in rows.select(warc.place(F.col("page_id"), F.col("sha")).alias("p"), "page_id", "sha").orderBy(F.col("page_id").asc_nulls_last(), "sha").collect()]
+    assert ids == sorted(ids)
+    assert warc.bounds(rows.limit(0), 9_000) == []
