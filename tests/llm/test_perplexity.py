@@ -141,3 +141,16 @@ def test_letters_beyond_ascii_and_word_order_count(spark):
     usual = [got[i]["surprise"] for i in range(60)]
     assert got[60]["surprise"] > 2 * max(usual) and not got[60]["kept"]
     assert got[61]["surprise"] > 1.05 * got[1]["surprise"]
+
+
+def test_means_and_sorted_codes():
+    some = [(t or "").encode() for t in texts(6)] * 3
+    code = P.distinct(np.concatenate([P.byte_codes([t])[0] for t in some]))
+    assert code.tolist() == np.unique(P.byte_codes(some)[0]).tolist() and P.distinct(code[:0]).tolist() == []
+    value = np.random.default_rng(1).random(len(code))
+    got = P.means(some, code, value)
+    for text, mean in zip(some, got, strict=True):
+        mine = P.byte_codes([text])[0]
+        assert (mean is None) == (not len(mine)) and (mean is None or abs(mean - value[np.searchsorted(code, mine)].mean()) < 1e-12)
+    both, n = P.merged([(np.array([1, 5]), np.array([2, 3])), (np.array([5, 9]), np.array([4, 1])), (code[:0], code[:0])])
+    assert both.tolist() == [1, 5, 9] and n.tolist() == [2, 7, 1]
