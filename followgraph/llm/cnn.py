@@ -7,17 +7,19 @@ rectified and max-pooled within a chunk.  The mean and the maximum of the
 chunk vectors over the whole document feed one logistic unit, with the share
 of a chunk that a text shorter than one leaves empty (its maxima are low).
 
-Fitting runs on the driver over a bounded sample: ``max_rows`` labelled
-rows of each class (smallest hash of the id first) and ``MAX_CHUNKS``
-evenly spread chunks of each; class weights restore the share of each class
-among all training labels.  Scoring covers whole texts of all rows.  The
+Fitting runs on the driver over all chunks of the whole texts of a bounded
+sample: of each class at most ``MAX_ROWS`` labelled rows (smallest hash of the
+id first) and ``MAX_BYTES`` bytes; class weights restore the share of each
+class among all training labels.  Scoring covers whole texts of all rows.  The
 model's size is fixed by the architecture (about 130 kB), so it is
 broadcast.
 
 Null and empty texts are one empty chunk and get a score as well.  Without
 labels the score is 0.5; with labels of one class it is that class.
 Repeated label rows of a document count once (their mean, rounded up);
-labels with null in either column are skipped.
+labels with null in either column are skipped, and of a repeated ``doc_id``
+the least text is fitted on.  Repeated rows get equal scores; an empty table
+of documents gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,11 +31,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from followgraph.llm import arrays, ship
+from followgraph.llm import arrays, samples, ship
 
 CHUNK, STEP, WIDTH, FILTERS = 256, 224, 8, 16
-MAX_CHUNKS = 16
-MAX_ROWS = 1500
+MAX_ROWS, MAX_BYTES = 1500, 4 << 20
 UPDATES, BATCH, RATE = 560, 64, 0.02
 SEED = 5
 
@@ -104,15 +105,12 @@ def score_texts(model: Model, texts: list[bytes], pairs: np.ndarray | None = Non
     return out
 
 
-def sample_chunks(text: bytes) -> bytes:
-    """Up to ``MAX_CHUNKS`` evenly spread chunks, each ``CHUNK + WIDTH - 1``
-    bytes (zeros after the end) after its number of valid places."""
-    starts = chunk_starts(len(text))
-    if len(starts) > MAX_CHUNKS:
-        starts = starts[np.linspace(0, len(starts) - 1, MAX_CHUNKS).astype(int)]
+def chunked(text: bytes) -> bytes:
+    """All chunks of a text, each ``CHUNK + WIDTH - 1`` bytes (zeros after the
+    end) after its number of valid places."""
     size = CHUNK + WIDTH - 1
     out = []
-    for s in starts.tolist():
+    for s in chunk_starts(len(text)).tolist():
         valid = max(1, min(CHUNK, len(text) - s))
         out.append(valid.to_bytes(2, "little") + text[s : s + size].ljust(size, b"\0"))
     return b"".join(out)
@@ -180,42 +178,19 @@ def fit(chunks: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
     return Model(x["tables"], x["bias"], x["mean"], x["peak"], float(x["gap"][0]), float(x["base"][0]))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Fit on at most ``max_rows`` rows of each class of ``labels`` (``doc_id``,
-    ``label``) joined to ``docs`` (``doc_id``, ``text``)."""
-    known = (
-        labels.select("doc_id", F.col("label").cast("double").alias("label"))
-        .dropna()
-        .groupBy("doc_id")
-        .agg((F.avg("label") >= 0.5).cast("int").alias("label"))
-    )
-    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    if len(sizes) < 2:
-        return Model(*[np.zeros(1)] * 4, 0.0, 0.0, constant=float(next(iter(sizes), 0.5)))
-    ship.package(docs.sparkSession)
-    chosen = None
-    for label in (0, 1):
-        few = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-        chosen = few if chosen is None else chosen.unionByName(few)
-
-    @F.arrow_udf("binary")
-    def chunked(text: pa.Array) -> pa.Array:
-        return pa.array([sample_chunks(x) for x in arrays.texts_of(text)], pa.binary())
-
-    rows = (
-        docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-        .join(F.broadcast(chosen), "doc_id")  # 2 * max_rows rows at most
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", "label", chunked("text").alias("chunks"))
-        .collect()
-    )
-    rows.sort(key=lambda r: r["doc_id"])
-    if len({r["label"] for r in rows}) < 2:
-        return Model(*[np.zeros(1)] * 4, 0.0, 0.0, constant=float(next((r["label"] for r in rows), 0.5)))
-    y = np.array([r["label"] for r in rows], dtype=np.float64)
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> Model:
+    """Fit on a sample of ``labels`` (``doc_id``, ``label``) joined to ``docs``
+    (``doc_id``, ``text``), bounded for each class."""
+    rows, sizes = samples.labelled(docs, labels, max_rows, max_bytes)
+    found = sorted({label for _, label, _ in rows}) or sorted(sizes)
+    if len(found) != 2:
+        return Model(*[np.zeros(1)] * 4, 0.0, 0.0, constant=float(found[0]) if len(found) == 1 else 0.5)
+    if not rows:
+        return Model(*[np.zeros(1)] * 4, 0.0, 0.0, constant=0.5)
+    y = np.array([label for _, label, _ in rows], dtype=np.float64)
     seen = np.array([(y == 0).sum(), (y == 1).sum()])
     weight = np.array([sizes[0], sizes[1]]) / seen
-    return fit([bytes(r["chunks"]) for r in rows], y, weight[y.astype(int)])
+    return fit([chunked(text) for _, _, text in rows], y, weight[y.astype(int)])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:

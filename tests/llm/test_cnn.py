@@ -25,7 +25,7 @@ def labelled(seed, n):
 @pytest.fixture(scope="module")
 def model():
     rows = labelled(1, 400)
-    return cnn.fit([cnn.sample_chunks(t.encode()) for t, _ in rows], np.array([y for _, y in rows], float), np.ones(len(rows)))
+    return cnn.fit([cnn.chunked(t.encode()) for t, _ in rows], np.array([y for _, y in rows], float), np.ones(len(rows)))
 
 
 def test_held_out(model):
@@ -65,3 +65,32 @@ def test_train_and_odd_rows(spark):
     assert cnn.train(docs, labels.where("false")).constant == 0.5
     assert cnn.train(docs, labels.where("label = 1")).constant == 1.0
     assert scored.where("doc_id < 0").collect() == []
+
+
+def test_agrees_with_plain_loops(model):
+    """The network by its definition, byte by byte."""
+    for text in (b"", b"x", "é### | ab".encode() * 3, bytes(range(256)) * 3, b"lo min " * 90):
+        chunks = []
+        for start in range(0, max(1, len(text)), cnn.STEP):
+            if start and start + (cnn.CHUNK - cnn.STEP) >= len(text):
+                break
+            best = [-np.inf] * cnn.FILTERS
+            for place in range(start, max(start + 1, min(start + cnn.CHUNK, len(text)))):
+                for f in range(cnn.FILTERS):
+                    window = [text[place + j] if place + j < len(text) else 0 for j in range(cnn.WIDTH)]
+                    best[f] = max(best[f], sum(float(model.tables[j, b, f]) for j, b in enumerate(window)))
+            chunks.append([max(0.0, b + float(model.bias[f])) for f, b in enumerate(best)])
+        vectors = np.array(chunks)
+        logit = vectors.mean(axis=0) @ model.mean + vectors.max(axis=0) @ model.peak + model.gap * max(0, 1 - len(text) / cnn.CHUNK) + model.base
+        assert abs(cnn.score_texts(model, [text])[0] - 1 / (1 + np.exp(-logit))) < 1e-4
+
+
+def test_fits_on_every_chunk_and_the_least_text_of_a_repeated_id(spark):
+    assert len(cnn.chunked(b"a" * 100_000)) == len(cnn.chunk_starts(100_000)) * (cnn.CHUNK + cnn.WIDTH + 1)
+    rows = labelled(6, 60)
+    docs = corpus.frame(spark, [*[t for t, _ in rows], (4, "zzz"), (5, "!!!")])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, label int")
+    one, other = cnn.train(docs, labels), cnn.train(docs.repartition(6), labels.repartition(3))
+    assert np.array_equal(one.tables, other.tables)
+    assert cnn.train(docs.where("false"), labels).constant == 0.5
+    assert docs.where("false").select(cnn.score(docs, one)).collect() == []
