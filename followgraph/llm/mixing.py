@@ -13,6 +13,14 @@ document is taken from one of nearly the same size.  The running sum is
 taken in two levels (within parts of about ``PART`` documents, then over the
 parts' totals), so no source is gathered in one task.
 
+The words that rounding leaves over or short in a source are then passed on
+from its largest documents to its smallest: as many copies as fit into
+what is open are added (or taken away), the largest first, until the next
+one would miss the target by more than it is missed now.  Sizes and how many
+copies they can take decide; a step at least halves what is open.  A source
+thus misses its target by at most half of the smallest document that can
+still change, unless none can.
+
 DataFrame operations only.  A null text has no words; the null source is a
 source of its own and comes last.  Documents without words take none.
 Repeated rows are separate documents.  Sources whose target is 3 times
@@ -118,6 +126,75 @@ def multipliers(sizes: DataFrame, goal: DataFrame) -> DataFrame:
     return state.select("source", "mean", "x")
 
 
+def equal(left: list[str], right: list[str]) -> Column:
+    """All these columns equal pairwise, nulls being equal."""
+    out = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        out = out & F.col(a).eqNullSafe(F.col(b))
+    return out
+
+
+def renamed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with ``_`` after the names of ``columns``."""
+    return df.withColumnsRenamed({c: f"{c}_" for c in columns})
+
+
+def balanced(rounded: DataFrame, goal: DataFrame) -> DataFrame:
+    """``rounded`` (``id, source, size, part, copies``) with the words open in
+    each source passed on from large documents to small ones."""
+    bars = rounded.where("size > 0").groupBy("source", "size").agg(
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")
+    )
+    bars = scratch.keep(bars, "bars")
+    got = bars.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
+    short = renamed(got, ["source"]).join(goal, equal(["source"], ["source_"])).select("source", (F.round("target").cast("long") - F.col("got")).alias("open"))
+    state = short.where("open <> 0").select("source", F.signum("open").cast("int").alias("sign"), F.abs("open").alias("open"))
+    state = scratch.keep(state, "open")
+    can = renamed(bars, ["source"]).join(state.select("source", "sign"), equal(["source"], ["source_"]))
+    can = scratch.keep(can.select("source", "size", F.when(F.col("sign") > 0, F.col("n") * int(MOST) - F.col("copies")).otherwise(F.col("copies")).alias("n")).where("n > 0"), "sizes")
+    changes = []
+    larger = W.partitionBy("source").orderBy(F.desc("size")).rowsBetween(W.unboundedPreceding, -1)
+    while True:
+        fitting = can.join(renamed(state, ["source", "sign"]), equal(["source"], ["source_"])).where("size <= open")
+        before = F.coalesce(F.sum(F.col("n") * F.col("size")).over(larger), F.lit(0))
+        many = F.least(F.col("n"), F.floor((F.col("open") - F.col("before")) / F.col("size")))
+        taken = fitting.withColumn("before", before).where("before < open").withColumn("many", many).where("many > 0")
+        seen = Observation()
+        taken = scratch.keep(taken.select("source", "size", "many").observe(seen, F.count(F.lit(1)).alias("rows")), "changes")
+        if not seen.get["rows"]:
+            break
+        changes.append(taken)
+        used = renamed(taken.groupBy("source").agg(F.sum(F.col("many") * F.col("size")).alias("used")), ["source"])
+        state = state.join(used, equal(["source"], ["source_"]), "left").select("source", "sign", (F.col("open") - F.coalesce("used", F.lit(0))).alias("open"))
+        state = scratch.keep(state, "open")
+        can = can.join(renamed(taken, ["source", "size"]), equal(["source", "size"], ["source_", "size_"]), "left")
+        can = can.select("source", "size", (F.col("n") - F.coalesce("many", F.lit(0))).alias("n")).where("n > 0")
+        can = scratch.keep(can, "sizes")
+    # No size is left that fits; one document more where that brings the target nearer.
+    last = can.groupBy("source").agg(F.min("size").alias("size")).join(renamed(state, ["source"]), equal(["source"], ["source_"]))
+    changes.append(last.where("size < 2 * open").select("source", "size", F.lit(1).cast("long").alias("many")))
+    every = changes[0]
+    for more in changes[1:]:
+        every = every.unionByName(more)
+    every = renamed(every.groupBy("source", "size").agg(F.sum("many").alias("many")), ["source"])
+    every = every.join(state.select("source", "sign"), equal(["source"], ["source_"])).select("source", "size", "many", "sign")
+    every = scratch.keep(every, "changes")
+
+    # The documents of a size that change: those with the smallest ids, part by part.
+    free = F.when(F.col("sign") > 0, int(MOST) - F.col("copies")).otherwise(F.col("copies"))
+    both = ["source", "size"]
+    hit = rounded.join(renamed(every, both), equal(both, ["source_", "size_"])).drop("source_", "size_").withColumn("free", free)
+    parts = hit.groupBy("source", "size", "part").agg(F.sum("free").alias("n"))
+    earlier = W.partitionBy("source", "size").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    offset = renamed(parts.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n"), [*both, "part"])
+    up_to = W.partitionBy("source", "size", "part").orderBy("id", "copies").rowsBetween(W.unboundedPreceding, -1)
+    numbered = hit.withColumn("before", F.coalesce(F.sum("free").over(up_to), F.lit(0))).join(offset, equal([*both, "part"], ["source_", "size_", "part_"]))
+    moved = F.greatest(F.lit(0), F.least("free", F.col("many") - F.col("before") - F.col("offset"))) * F.col("sign")
+    changed = numbered.withColumn("copies", F.col("copies") + moved).select(rounded.columns)
+    same = rounded.join(renamed(every.select(both), both), equal(both, ["source_", "size_"]), "left_anti")
+    return same.unionByName(changed)
+
+
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``key`` with ``source, size, source_size, target, copies, taken`` of every row."""
     sizes = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), words(text).alias("size"))
@@ -149,5 +226,6 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     run = summed.join(offsets, same).withColumn("after", F.col("upto") + F.col("offset"))
     half = F.lit(1 << 39)
     copies = F.shiftright(F.col("after") + half, 40) - F.shiftright(F.col("after") - F.col("unit") + half, 40)
-    out = run.withColumn("copies", copies)
+    rounded = run.select("id", "source", "size", "source_size", "target", "part", copies.alias("copies"))
+    out = balanced(scratch.keep(rounded, "rounded"), goal)
     return out.select(F.col("id").alias(key), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
