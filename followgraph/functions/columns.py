@@ -1,4 +1,4 @@
-"""Column builders for the rank update and the recommendation choices."""
+"""Column builders for the rank update and the interest flag."""
 
 from __future__ import annotations
 
@@ -13,11 +13,5 @@ def rank_update(received: Column, dangling_mass: float, n: int, damping: float)
     return F.lit(base) + F.lit(damping) * (F.coalesce(received, F.lit(0.0)) + F.lit(dangling_mass / n))
 
 
-def candidate(freq: Column, user: Column, topic: Column) -> Column:
-    """A final choice compares by frequency, then by the *smaller* user id
-    (negated; recover it by negation), then by topic name descending."""
-    return F.struct(freq.alias("freq"), (-user).alias("neg_user"), topic.alias("topic"))
-
-
 def interested(freq: Column, threshold: float) -> Column:
     return freq >= F.lit(threshold)

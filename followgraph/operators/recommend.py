@@ -38,7 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from followgraph.functions.columns import candidate, interested
+from followgraph.functions.columns import interested
 from followgraph.operators import lineage, skew
 from followgraph.operators.graph import all_users, vertices
 from followgraph.sources.schemas import INTEREST_THRESHOLD, TOPICS
@@ -263,22 +263,31 @@ def propagate(
     return lineage.owned(current.select(*cols, "number").join(names, "number").select(*cols, "max_user"), name, order_name)
 
 
-def pick(state: DataFrame) -> DataFrame:
+def pick(state: DataFrame, topic_cols=TOPICS) -> DataFrame:
     """``userId, postFrequency, topic, recommendedUserId`` for users
-    with at least one interest."""
+    with at least one interest: the highest frequency, then the lowest user
+    id, then the last topic in the order of names.
+
+    The state is dealt by user once; then three aggregations on numbers of a
+    fixed width (topics by their place in the order of names), which hash and
+    need no sort, settle topic, user and frequency in turn.  Each has no ties
+    left for the next.
+    """
+    names = F.array(*[F.lit(t) for t in sorted(topic_cols)])
     cand = state.where(F.col("interested")).select(
-        "userId", candidate(F.col("max_freq"), F.col("max_user"), F.col("topic")).alias("c")
+        "userId", "max_freq", "max_user", F.array_position(names, F.col("topic")).cast("int").alias("place")
     )
-    return (
-        cand.groupBy("userId")
-        .agg(F.max("c").alias("b"))
-        .select(
-            "userId",
-            F.col("b.freq").alias("postFrequency"),
-            F.col("b.topic").alias("topic"),
-            (-F.col("b.neg_user")).alias("recommendedUserId"),
-        )
-        .where(F.col("postFrequency") > F.lit(0.0))
+    by_user = cand.repartition("userId").groupBy("userId", "max_freq", "max_user").agg(F.max("place").alias("place"))
+    by_freq = by_user.groupBy("userId", "max_freq").agg(
+        F.min("max_user").alias("user"), F.min_by("place", "max_user").alias("place")
+    )
+    best = by_freq.groupBy("userId").agg(
+        F.max("max_freq").alias("postFrequency"),
+        F.max_by("place", "max_freq").alias("place"),
+        F.max_by("user", "max_freq").alias("recommendedUserId"),
+    )
+    return best.where(F.col("postFrequency") > F.lit(0.0)).select(
+        "userId", "postFrequency", F.element_at(names, F.col("place")).alias("topic"), "recommendedUserId"
     )
 
 
@@ -304,4 +313,4 @@ def recommendations(
         final = propagate(state, edges, iterations, False, buckets, min_rows, max_keys, ed)
     finally:
         ed.release()
-    return lineage.owned(pick(final), *getattr(final, "_fg_tables", ()))
+    return lineage.owned(pick(final, topic_cols), *getattr(final, "_fg_tables", ()))

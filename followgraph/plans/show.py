@@ -73,6 +73,7 @@ def main(sf_dir: str) -> None:
             rc.update(current.drop("improved", "max_user"), rc.numbered_offers(current.where("improved"), tl, 1), 1, 8),
         )
     )
+    sections.append(("Final pick (R7-R9)", rc.pick(current.drop("number"))))
     print("# Physical plans\n")
     print("Generated by `python -m followgraph.plans.show " + sf_dir + "` with broadcast joins off")
     print("(the plans of a cluster whose tables exceed the broadcast threshold).\n")

@@ -108,3 +108,20 @@ def test_full_state_matches_brute_after_one_round(spark):
 
 def test_empty_graph(spark):
     assert recs(spark, [], GOLDEN_TOPICS) == {}
+
+
+def test_pick_like_plain_choice_by_hash_aggregation(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.randrange(60), t, f, f >= 3.0, f, rnd.randrange(4)) for t in rc.TOPICS for f in [rnd.choice([2.0, 3.0, 4.5, 4.5, float("inf")]) for _ in range(80)]]
+    rows += [(100, "games", float("nan"), True, float("nan"), 1), (100, "music", float("inf"), True, float("inf"), 0)]
+    state = spark.createDataFrame(rows, "userId long, topic string, freq double, interested boolean, max_freq double, max_user long")
+    chosen = {}
+    for user, topic, _, ok, freq, best in rows:
+        if ok:
+            order = (freq != freq, 0.0 if freq != freq else freq, -best, topic)
+            chosen[user] = max(chosen.get(user, order), order)
+    found = rc.pick(state)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    got = {r["userId"]: (r["postFrequency"] != r["postFrequency"], 0.0 if r["postFrequency"] != r["postFrequency"] else r["postFrequency"], -r["recommendedUserId"], r["topic"]) for r in found.collect()}
+    assert got == chosen
+    assert "SortAggregate" not in plan and "HashAggregate" in plan and plan.count("Exchange hashpartitioning") == 1
