@@ -6,7 +6,9 @@ possible score, so that a score is the share of the item, by weight, that a
 passage holds, and one threshold suits all items.  Items are indexed by
 length class: items of up to ``L`` words are sought in passages of ``2 * L``
 words that start every ``L`` words, so any stretch as long as the item lies
-whole in one of them, and passages cover every text to its end.
+whole in one of them, and passages cover every text to its end.  In how many
+items a word occurs, their number and mean length are sums over all items,
+so a score does not depend on the items that share a shard or a class.
 
 1. Screen: an item's weakest terms, up to ``SLACK`` of the threshold by
    weight, are its common terms, the others its essential ones.  The
@@ -22,7 +24,8 @@ whole in one of them, and passages cover every text to its end.
 
 Words are runs of letters and digits in lower case.  Null and empty texts
 and items match nothing; an item without id is sought like any other and
-reported with a null ``item_id``, before those with one.  The index goes to the workers in shards of at
+reported with a null ``item_id``, before those with one.  Repeated items are
+items of their own, all reported; an empty table leaks nothing.  The index goes to the workers in shards of at
 most ``SHARD_WORDS`` words of items, each broadcast, so a broadcast is
 bounded however large the benchmark is; the text of one item is never cut.
 """
@@ -33,13 +36,14 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from followgraph.llm import arrays, ship
+from followgraph.llm import arrays, scratch, ship
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -78,21 +82,31 @@ def overlap(part: list[int], passage: list[int]) -> float:
     return len(own & shingles(passage, size)) / len(own)
 
 
+class Statistics(NamedTuple):
+    """Of all items with words: how many there are, their mean number of
+    words, and how many have a term (for the terms of the items at hand)."""
+
+    items: int
+    mean: float
+    df: dict[int, int]
+
+
 class LengthClass:
     """Inverted index of the items of up to ``longest`` words."""
 
-    def __init__(self, longest: int, items: list[tuple[int, list[int]]], parts: dict[int, tuple[list[int], list[int]]], threshold: float):
+    def __init__(
+        self, longest: int, items: list[tuple[int, list[int]]], parts: dict[int, tuple[list[int], list[int]]], threshold: float, of_all: Statistics
+    ):
         self.longest, self.threshold, self.parts = longest, threshold, parts
         self.items = [item for item, _ in items]
-        df = Counter(t for _, words in items for t in set(words))
-        mean = sum(len(w) for _, w in items) / len(items)
+        total, mean, df = of_all
         postings: dict[int, list[tuple[int, float]]] = {}
         hits: list[tuple[int, int, float]] = []
         need = []
         for number, (_, words) in enumerate(items):
             impact = {}
             for term, tf in Counter(words).items():
-                idf = math.log(1 + (len(items) - df[term] + 0.5) / (df[term] + 0.5))
+                idf = math.log(1 + (total - df[term] + 0.5) / (df[term] + 0.5))
                 impact[term] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
             best = sum(impact.values())
             rest, essential = 0.0, []
@@ -195,9 +209,10 @@ class LengthClass:
 
 
 class Index:
-    """Length classes of one shard of items."""
+    """Length classes of one shard of items; ``of_all`` describes all shards
+    (by default there is this one only)."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD, of_all: Statistics | None = None):
         hashes, first = term_hashes([t for _, t in items])
         classes: dict[int, list[tuple[int, list[int]]]] = {}
         parts: dict[int, tuple[list[int], list[int]]] = {}
@@ -207,8 +222,12 @@ class Index:
                 classes.setdefault(max(16, 1 << (len(words) - 1).bit_length()), []).append((n, words))
                 h, f = term_hashes(list(question_answer(text)))
                 parts[n] = (h[f[0] : f[1]].tolist(), h[f[1] : f[2]].tolist())
+        if of_all is None:
+            every = [words for rows in classes.values() for _, words in rows]
+            mean = sum(map(len, every)) / max(1, len(every))
+            of_all = Statistics(len(every), mean, Counter(t for words in every for t in set(words)))
         self.ids = [i for i, _ in items]
-        self.classes = [LengthClass(longest, rows, parts, threshold) for longest, rows in sorted(classes.items())]
+        self.classes = [LengthClass(longest, rows, parts, threshold, of_all) for longest, rows in sorted(classes.items())]
 
     def leaks(self, texts: list[str | None], share: float = OVERLAP) -> list[list[tuple[int, float, float, float]]]:
         """Items that each text holds: id, best score, overlap of question and answer."""
@@ -226,19 +245,50 @@ class Index:
         return [sorted(((self.ids[n], *x) for n, x in row.items()), key=lambda x: (x[0] is not None, x[0] or 0, *x[1:])) for row in found]
 
 
-def shards(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Items in order of their ids, at most ``SHARD_WORDS`` words at a time (one item at least)."""
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    held, size = [], 0
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``text, n, words`` (their number) and the distinct ``terms`` of texts."""
+    for batch in batches:
+        texts, n = (c.to_pylist() for c in batch.columns)
+        for a, b in arrays.slices([t.encode() for t in texts]):
+            hashes, first = term_hashes(texts[a:b])
+            terms = [np.unique(hashes[x:y]).view(np.int64) for x, y in zip(first, first[1:], strict=False)]
+            columns = [pa.array(texts[a:b], pa.string()), pa.array(n[a:b], pa.int64()), pa.array(np.diff(first), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(terms, pa.list_(pa.int64()))], ["text", "n", "words", "terms"])
+
+
+def described(items: DataFrame) -> tuple[DataFrame, int, float]:
+    """``item_id, text, df`` of the items with words (``df`` maps their terms
+    to the number of items that have them), the number of these items and the
+    mean number of words, all counted in Spark over the whole benchmark."""
+    ship.package(items.sparkSession)
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    texts = rows.groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+    texts = scratch.keep(texts.mapInArrow(_terms, "text string, n long, words long, terms array<long>").where("words > 0"), "items")
+    total = texts.agg(F.sum("n").alias("items"), F.sum(F.col("n") * F.col("words")).alias("words")).first()
+    # Texts differ, so their digests stand for them while terms are counted and looked up.
+    flat = texts.select(F.sha2("text", 256).alias("of"), "n", F.explode("terms").alias("term"))
+    counts = flat.groupBy("term").agg(F.sum("n").alias("df"))
+    known = flat.join(counts, "term").groupBy("of").agg(F.map_from_entries(F.collect_list(F.struct("term", "df"))).alias("df"))
+    found = rows.withColumn("of", F.sha2("text", 256)).join(known, "of").select("item_id", "text", "df")
+    many = int(total["items"] or 0)
+    return found, many, int(total["words"] or 0) / max(1, many)
+
+
+def shards(items: DataFrame) -> Iterator[tuple[list[tuple[int, str]], Statistics]]:
+    """Items in order of their ids, at most ``SHARD_WORDS`` words at a time
+    (one item at least), with the statistics of all."""
+    rows, many, mean = described(items)
+    held, df, size = [], {}, 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         n = len(row["text"].split())
         if held and size + n > SHARD_WORDS:
-            yield held
-            held, size = [], 0
+            yield held, Statistics(many, mean, df)
+            held, df, size = [], {}, 0
         held.append((row["item_id"], row["text"]))
+        df.update((term & (1 << 64) - 1, count) for term, count in row["df"].items())
         size += n
     if held:
-        yield held
+        yield held, Statistics(many, mean, df)
 
 
 def leaks(items: DataFrame, text: str = "text") -> Column:
@@ -246,8 +296,8 @@ def leaks(items: DataFrame, text: str = "text") -> Column:
     spark = items.sparkSession
     ship.package(spark)
 
-    def against(shard: list[tuple[int, str]]) -> Column:
-        index = spark.sparkContext.broadcast(Index(shard))
+    def against(shard: list[tuple[int, str]], of_all: Statistics) -> Column:
+        index = spark.sparkContext.broadcast(Index(shard, of_all=of_all))
 
         @F.arrow_udf(LEAKS)
         def found(column: pa.Array) -> pa.Array:
@@ -262,7 +312,7 @@ def leaks(items: DataFrame, text: str = "text") -> Column:
 
         return found(F.col(text).cast("binary"))
 
-    columns = [against(shard) for shard in shards(items)]
+    columns = [against(*shard) for shard in shards(items)]
     if not columns:
         return F.array().cast(LEAKS)
     return columns[0] if len(columns) == 1 else F.concat(*columns)

@@ -79,3 +79,22 @@ def test_items_without_id_are_found(spark):
     texts = [items[0], " ".join(items), "clean", items[2]]
     docs = corpus.frame(spark, texts).withColumn("found", D.leaks(table))
     assert {r["doc_id"]: [x["item_id"] for x in r["found"]] for r in docs.collect()} == {0: [None], 1: [None, None, 0], 2: [], 3: [0]}
+
+
+def test_scores_do_not_depend_on_shards(spark, monkeypatch):
+    rnd = random.Random(8)
+    bench = [(i, " ".join(corpus.words(rnd, rnd.choice([8, 15, 40, 100]), 60))) for i in range(12)] + [(None, "a b c d e f"), (3, "...")]
+    bench += [bench[2], (77, bench[5][1])]
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    texts = [t + " " + corpus.edited(rnd, u, 0.02) for (_, t), (_, u) in zip(bench, bench[3:], strict=False)]
+    found = []
+    for size in (10, 120, 1_000_000):
+        monkeypatch.setattr(D, "SHARD_WORDS", size)
+        rows = corpus.frame(spark, texts).withColumn("found", D.leaks(table)).collect()
+        found.append({r["doc_id"]: sorted(map(str, r["found"])) for r in rows})
+    assert found[0] == found[1] == found[2] and sum(map(len, found[0].values())) > 15
+    # The statistics are those of an index of all items at once.
+    (items, of_all), *rest = D.shards(table)
+    plain = D.Index([(i, t) for i, t in items])
+    given = D.Index(items, of_all=of_all)
+    assert not rest and [c.lists for c in plain.classes] == [c.lists for c in given.classes]
