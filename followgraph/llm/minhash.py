@@ -137,12 +137,15 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataF
     A text is fetched once for each pair it is the second of, and once for
     each ``FAN`` pairs it is the first of, so that a document with many
     partners is spread over tasks.  A task holds one first text at a time.
+    What is asked for is written first, so that its size is known to the join:
+    few pairs then need no shuffle of all texts.
     """
     fan = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(FAN)).cast("int").alias("n"))
     second = pairs.join(fan, "a").select("a", F.expr("cast(pmod(xxhash64(b), n) as int)").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("id"))
     first = fan.select("a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("a").alias("id"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    rows = first.unionByName(second).join(texts, "id")
+    asked = scratch.keep(first.unionByName(second), "asked")
+    rows = asked.join(texts, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, own = None, []  # the first document, and the sets of its texts
@@ -165,7 +168,9 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64())], ["a", "b"])
 
     dealt = rows.select("a", "salt", "role", "id", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-    return dealt.mapInArrow(run, "a long, b long")
+    links = scratch.keep(dealt.mapInArrow(run, "a long, b long"), "links")
+    scratch.forget(asked)
+    return links
 
 
 def spanning(ids: list[list[int]], labels: list[list[int]], sets: list[list[np.ndarray]], threshold: int) -> list[tuple[int, int]]:
@@ -273,7 +278,7 @@ def linked(
     if settle:
         texts = scratch.keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi"), "texts")
     pairs = scratch.keep(hits.where("pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
-    links = scratch.keep(verified(pairs, texts, k, threshold), "links")
+    links = verified(pairs, texts, k, threshold)
 
     # Members that are not linked with their bucket's smallest: once more, with the one that has most links.
     failed = pairs.join(links, ["a", "b"], "left_anti")
@@ -282,7 +287,7 @@ def linked(
     ranked = hits.join(ends, "doc").groupBy("key").agg(F.max(F.struct("degree", (-F.col("doc")).alias("doc"))).alias("best"))
     again = lone.join(ranked, "key").select((-F.col("best.doc")).alias("a"), F.col("doc").alias("b")).where("a <> b").distinct()
     again = again.join(pairs, ["a", "b"], "left_anti")
-    links = links.unionByName(scratch.keep(verified(again, texts, k, threshold), "links"))
+    links = links.unionByName(verified(again, texts, k, threshold))
     first = components(links.unionByName(more) if more is not None else links)
     if not settle:
         scratch.forget(hits, pairs, links)
