@@ -130,6 +130,27 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield pa.concat_tables(rest)
 
 
+def agreeing(firsts: list[list[np.ndarray]], seconds: list[tuple[int, np.ndarray]], threshold: int) -> np.ndarray:
+    """Which of ``seconds`` (group, shingles) have a similarity of ``threshold``
+    with one of the sets that ``firsts`` has for their group."""
+    out = np.zeros(len(seconds), dtype=bool)
+    group = np.array([g for g, _ in seconds], dtype=np.int64)
+    size = np.array([len(values) for _, values in seconds], dtype=np.int64)
+    mark = arrays.mix(np.arange(1, len(firsts) + 1, dtype=np.uint64))  # keeps the groups' shingles apart
+    for j in range(max(map(len, firsts), default=0)):
+        chosen = [sets[j] if len(sets) > j else np.zeros(0, dtype=np.uint64) for sets in firsts]
+        have = np.array([len(values) for values in chosen])
+        open_ = np.flatnonzero(~out & (size > 0) & (have[group] > 0))
+        if not len(open_):
+            continue
+        known = np.sort(np.concatenate(chosen) ^ np.repeat(mark, have))
+        asked = np.concatenate([seconds[i][1] for i in open_]) ^ np.repeat(mark[group[open_]], size[open_])
+        hit = known[np.minimum(np.searchsorted(known, asked), len(known) - 1)] == asked
+        shared = np.add.reduceat(hit, np.cumsum(size[open_]) - size[open_], dtype=np.int64)
+        out[open_] = (shared > 0) & (100 * shared >= threshold * (have[group[open_]] + size[open_] - shared))
+    return out
+
+
 def verified(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
     """Those of ``pairs`` (``a, b``, distinct) whose full shingle sets have
     100 * intersection >= threshold * union.
@@ -153,18 +174,17 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataF
             a, salt, role, b, texts = (batch.column(i).to_pylist() for i in range(5))
             out = []
             for x, y in arrays.slices([t or b"" for t in texts], 1 << 20):
-                sets = shingle_sets([t or b"" for t in texts[x:y]], k)
-                for i, values in enumerate(sets, x):
+                firsts, seconds, rows = [own], [], []
+                for i, values in enumerate(shingle_sets([t or b"" for t in texts[x:y]], k), x):
                     if role[i] == 0:
                         if held != (a[i], salt[i]):
                             held, own = (a[i], salt[i]), []
+                            firsts.append(own)
                         own.append(values)
-                        continue
-                    for other in own:
-                        shared = len(np.intersect1d(other, values, assume_unique=True))
-                        if shared and 100 * shared >= threshold * (len(other) + len(values) - shared):
-                            out.append((a[i], b[i]))
-                            break
+                    else:
+                        seconds.append((len(firsts) - 1, values))
+                        rows.append(i)
+                out += [(a[rows[j]], b[rows[j]]) for j in np.flatnonzero(agreeing(firsts, seconds, threshold)).tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64())], ["a", "b"])
 
     dealt = rows.select("a", "salt", "role", "id", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
