@@ -285,7 +285,8 @@ def linked(
     different shingle sets, ``docs`` their ``doc_id, text``; ``more`` adds
     links ``a, b`` known before.  Without ``settle``, step 5 is left out: a
     link is found where a bucket's smallest or most linked member is at one end
-    of it, or other links join the two; ``docs`` then are the texts compared.
+    of it, or other links join the two; ``docs`` then are the texts compared,
+    and the tables that ``reps`` reads are deleted after use.
     """
     width = 4 * rows
     cut = reps.select("doc_id", "sig", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
@@ -297,6 +298,8 @@ def linked(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     if settle:
         texts = scratch.keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi"), "texts")
+    else:
+        scratch.forget(reps)
     pairs = scratch.keep(hits.where("pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = verified(pairs, texts, k, threshold)
 
