@@ -276,17 +276,12 @@ def resolved(members: DataFrame, docs: DataFrame, k: int, threshold: int) -> Dat
     return ready.mapInArrow(run, "a long, b long")
 
 
-def linked(
-    reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int, rows: int, more: DataFrame | None = None, settle: bool = True
-) -> DataFrame:
+def linked(reps: DataFrame, docs: DataFrame, k: int, threshold: int, bands: int, rows: int, more: DataFrame | None = None) -> DataFrame:
     """``node, component`` of the documents that are linked with others.
 
     ``reps`` has ``doc_id, sig`` (``bands * rows`` minima) of documents with
     different shingle sets, ``docs`` their ``doc_id, text``; ``more`` adds
-    links ``a, b`` known before.  Without ``settle``, step 5 is left out: a
-    link is found where a bucket's smallest or most linked member is at one end
-    of it, or other links join the two; ``docs`` then are the texts compared,
-    and the tables that ``reps`` reads are deleted after use.
+    links ``a, b`` known before.
     """
     width = 4 * rows
     cut = reps.select("doc_id", "sig", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
@@ -296,11 +291,17 @@ def linked(
     # The texts that are compared at all, fetched once.
     wanted = hits.select("doc").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    if settle:
-        texts = scratch.keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi"), "texts")
-    else:
-        scratch.forget(reps)
-    pairs = scratch.keep(hits.where("pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
+    texts = scratch.keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi"), "texts")
+    return settled(hits, texts, k, threshold, more)
+
+
+def settled(hits: DataFrame, texts: DataFrame, k: int, threshold: int, more: DataFrame | None = None, also: DataFrame | None = None) -> DataFrame:
+    """``node, component`` of the documents that are linked with others: of all
+    pairs that share a bucket of ``hits`` (``key, pivot, doc``, the pivot its
+    smallest), and of the pairs ``also`` (``a, b``).  ``texts`` has ``doc_id,
+    text`` of all of them; ``more`` are links known before."""
+    pairs = hits.where("pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
+    pairs = scratch.keep((pairs if also is None else pairs.unionByName(also)).distinct(), "pairs")
     links = verified(pairs, texts, k, threshold)
 
     # Members that are not linked with their bucket's smallest: once more, with the one that has most links.
@@ -312,9 +313,6 @@ def linked(
     again = again.join(pairs, ["a", "b"], "left_anti")
     links = links.unionByName(verified(again, texts, k, threshold))
     first = components(links.unionByName(more) if more is not None else links)
-    if not settle:
-        scratch.forget(hits, pairs, links)
-        return first
 
     # Buckets that still touch several components: what shares such a bucket's smallest is compared.
     state = hits.join(first, hits.doc == first.node, "left").select("key", "pivot", "doc", F.coalesce("component", "doc").alias("component"))

@@ -7,9 +7,14 @@ near copy inside a longer line or wrapped over short ones thus has chunks of
 its own.  Paragraphs have ``LEAST`` words at least; shorter lines are compared
 as parts of chunks, but not removed alone (a notice or heading is no passage).
 
-* Near copies: ``BANDS`` bands of ``ROWS`` minima let a pair at the threshold
-  of 80 % (five-word shingles) meet with a probability of 97.3 %.  Colliding
-  paragraphs are verified on their full shingle sets; links make components.
+* Near copies: of a set of ``n`` shingles (five words) the ``n - 0.8 n + 1``
+  with the least hashes are kept (a bottom-k MinHash sketch).  Two sets at the
+  threshold of 80 % share one of these at least, so no pair is left out.  Pairs
+  whose sizes, places of the shared shingle or parities rule the threshold out
+  are dropped; the others are verified on their full sets; links make
+  components.  Shingles that a sample of texts shows to be frequent count as
+  the largest hashes: this decides how many pairs are looked at, not which are
+  found.
 * Exact passages: windows of ``GRAM`` words, in every stretch of ``STRETCH``
   words the one with the smallest hash.  A passage of ``STRETCH`` words that
   two documents share thus has a window in common, at most ``REACH`` words
@@ -47,8 +52,12 @@ from followgraph.llm import arrays, minhash, scratch, ship
 from followgraph.llm.suffix_dedup import LAST, sliding
 
 SHINGLE, THRESHOLD = 5, 80
-BANDS, ROWS = 5, 3
-KEY = 8  # bytes of a band's hash
+BITS = 41  # of a shingle's hash; CLASS bits above them say how frequent it is
+CLASS = 3
+KEY = 6  # bytes of both
+SAMPLE, SEEN, FREQUENT = 64, 3, 1 << 15  # of so many texts one is looked at; frequent from so many on, and so many at most
+FULL = 1023  # sizes from here on count as this
+BUCKET, PER_UNIT = 4096, 8  # members, and pairs for each, up to which a bucket's pairs are listed
 LEAST = 20
 REACH_CUT, CUT_GRAM = 20, 3
 STRETCH, GRAM = 50, 24
@@ -61,12 +70,55 @@ def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - begin, size) + np.arange(int(size.sum()))
 
 
+Often = tuple[np.ndarray, np.ndarray]  # hashes of frequent shingles in order, and the class of each
+
+
+def ordered(value: np.ndarray, often: Often | None) -> np.ndarray:
+    """Hashes of shingles in ``CLASS + BITS`` bits, the frequent ones largest."""
+    value = value >> np.uint64(64 - BITS)
+    if often is None or not len(often[0]):
+        return value
+    known, kind = often
+    place = np.minimum(np.searchsorted(known, value), len(known) - 1)
+    return value | (np.where(known[place] == value, kind[place], 0).astype(np.uint64) << np.uint64(BITS))
+
+
+UNITS_AT_ONCE = 1 << (64 - CLASS - BITS)
+
+
+def sketches(gram: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of paragraphs with the shingles ``gram[first : last - SHINGLE + 1]``:
+    size and parities of the sets, the number of least hashes, and these.
+
+    A pair at the threshold has ``THRESHOLD`` percent of either set in common,
+    so it cannot miss one set's ``n - THRESHOLD n / 100 + 1`` least altogether;
+    the least common one is among those of both sets."""
+    if not len(first):
+        return np.zeros((0, 3), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    width = np.uint64(CLASS + BITS)
+    size = last - first - SHINGLE + 1
+    owner = np.repeat(np.arange(len(first), dtype=np.uint64), size)
+    both = np.sort((owner << width) | gram[ranges(first, size)])
+    both = both[np.diff(both, prepend=~both[0]) != 0]
+    owner, value = (both >> width).astype(np.int64), both & np.uint64((1 << (CLASS + BITS)) - 1)
+    n = np.bincount(owner, minlength=len(first))
+    start = np.cumsum(n) - n
+    spread = arrays.mix(value)
+    bit = np.uint64(1) << (spread & np.uint64(63))
+    odd = (spread >> np.uint64(6)) & np.uint64(1)
+    parity = [np.bitwise_xor.reduceat(np.where(odd == half, bit, np.uint64(0)), start) for half in (0, 1)]
+    many = n - (THRESHOLD * n + 99) // 100 + 1
+    return np.stack([n.astype(np.uint64), *parity], axis=1), many, value[ranges(start, many)]
+
+
 class Paragraphs:
     """Paragraphs and windows of a few texts: ``first, last`` (words, end
     exclusive), content hash ``unit`` and ``text``; the first ``len(sig)`` are
-    paragraphs (``line`` tells lines from chunks) with their bands' hashes, the rest windows."""
+    paragraphs (``line`` tells lines from chunks), the rest windows.  ``sig`` has
+    the size of a paragraph's shingle set and two parities of its halves, ``keys``
+    (``n_keys`` of each) the least hashes; ``often`` are the frequent shingles."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], often: Often | None = None):
         self.words = words = arrays.Words(texts, lower=True)
         hashes = words.hashes()
         n = len(hashes)
@@ -93,13 +145,9 @@ class Paragraphs:
         first, last, self.line = first[long], last[long], source[long] < (bounds[0].shape[1] if n else 0)
         value, at = arrays.grams(hashes, words.text, SHINGLE)
         gram = np.zeros(n, dtype=np.uint64)
-        gram[at] = value
-        self.sig = np.zeros((len(first), BANDS), dtype="<u8")
-        if len(first):
-            size = last - first - SHINGLE + 1
-            least = minhash.minima(gram[ranges(first, size)], np.cumsum(size) - size, BANDS * ROWS).astype(np.uint64)
-            for r in range(ROWS):
-                self.sig = arrays.mix(self.sig * base + least[:, r::ROWS] + np.uint64(1))
+        gram[at] = ordered(value, often)
+        parts = [sketches(gram, first[i : i + UNITS_AT_ONCE], last[i : i + UNITS_AT_ONCE]) for i in range(0, max(len(first), 1), UNITS_AT_ONCE)]
+        self.sig, self.n_keys, self.keys = (np.concatenate(x) for x in zip(*parts, strict=True))
         # Windows.
         head = np.zeros(0, dtype=np.int64)
         if n >= STRETCH:
@@ -129,22 +177,52 @@ class Paragraphs:
         return at[(value < low[place - REACH_CUT]) & (value <= low[np.minimum(place + 1, len(low) - 1)])]
 
 
-UNITS = "doc long, th long, first int, last int, unit long, line boolean, sig binary"
+UNITS = "doc long, th long, first int, last int, unit long, line boolean, n int, even long, odd long, keys binary"
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        doc, th = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "th"))
-        for a, b in arrays.slices(texts := arrays.texts_of(batch.column("text"))):
-            found = Paragraphs(texts[a:b])
-            text, begin = found.text, found.words.first[found.text]
-            n, width = len(found.sig), KEY * BANDS
-            offsets = np.minimum(np.arange(len(text) + 1), n).astype(np.int32) * width
-            valid = np.packbits(np.arange(len(text)) < n, bitorder="little")
-            sig = pa.Array.from_buffers(pa.binary(), len(text), [pa.py_buffer(valid.tobytes()), pa.py_buffer(offsets.tobytes()), pa.py_buffer(found.sig.tobytes())])
-            numbers = [doc[a + text], th[a + text], (found.first - begin).astype(np.int32), (found.last - begin).astype(np.int32), found.unit.view(np.int64)]
-            line = np.concatenate([found.line, np.zeros(len(text) - n, dtype=bool)])
-            yield pa.RecordBatch.from_arrays([*map(pa.array, numbers), pa.array(line), sig], ["doc", "th", "first", "last", "unit", "line", "sig"])
+def units_of(rows: DataFrame, often: Often) -> DataFrame:
+    """Paragraphs and windows (``keys`` null) of all ``rows`` (``doc, th, text``)."""
+    names = [c.split()[0] for c in UNITS.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, th = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "th"))
+            for a, b in arrays.slices(texts := arrays.texts_of(batch.column("text"))):
+                found = Paragraphs(texts[a:b], often)
+                text, begin = found.text, found.words.first[found.text]
+                rest = len(text) - len(found.sig)
+                offsets = np.concatenate([[0], np.cumsum(found.n_keys), np.full(rest, len(found.keys))]).astype(np.int32) * KEY
+                body = found.keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY].tobytes()
+                window = np.arange(len(text)) >= len(found.sig)
+                valid = np.packbits(~window, bitorder="little")
+                keys = pa.Array.from_buffers(pa.binary(), len(text), [pa.py_buffer(valid.tobytes()), pa.py_buffer(offsets.tobytes()), pa.py_buffer(body)])
+                numbers = [doc[a + text], th[a + text], (found.first - begin).astype(np.int32), (found.last - begin).astype(np.int32), found.unit.view(np.int64)]
+                line = np.concatenate([found.line, np.zeros(rest, dtype=bool)])
+                sig = np.concatenate([found.sig.astype(np.uint64).view(np.int64), np.zeros((rest, 3), np.int64)])
+                sig = [pa.array(np.ascontiguousarray(c), mask=window) for c in (sig[:, 0].astype(np.int32), sig[:, 1], sig[:, 2])]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, numbers), pa.array(line), *sig, keys], names)
+
+    return rows.select("doc", "th", "text").mapInArrow(run, UNITS)
+
+
+def frequent(rows: DataFrame) -> Often:
+    """The shingles that most texts of a sample have, at most ``FREQUENT``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in arrays.slices(texts := arrays.texts_of(batch.column("text"))):
+                words = arrays.Words(texts[a:b], lower=True)
+                value, at = arrays.grams(words.hashes(), words.text, SHINGLE)
+                pairs = np.unique(np.stack([words.text[at].astype(np.uint64), ordered(value, None)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[1].view(np.int64))], ["value"])
+
+    some = rows.where(F.pmod("th", F.lit(SAMPLE)) == 0).dropDuplicates(["th"]).select("text")
+    counts = some.mapInArrow(run, "value long").groupBy("value").count().where(F.col("count") >= SEEN)
+    top = counts.orderBy(F.desc("count"), "value").limit(FREQUENT).collect()
+    value, count = (np.array([r[i] for r in top], dtype=np.int64) for i in (0, 1))
+    order = np.argsort(value)
+    kind = np.minimum(np.log2(np.maximum(count, 1) / SEEN).astype(np.int64) + 1, (1 << CLASS) - 1)
+    return value[order].astype(np.uint64), kind[order]
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,19 +288,107 @@ def runs_of(windows: DataFrame) -> DataFrame:
     return found
 
 
+def _within(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether two entries of a bucket (size and rank of the key in the low bits)
+    may be at the threshold with the key their least common shingle: all
+    smaller ones of both then are not in common."""
+    n, m, i, j = (p >> 10) & FULL, (q >> 10) & FULL, p & 1023, q & 1023
+    near = 100 * np.minimum(n, m) >= THRESHOLD * np.maximum(n, m)
+    return near & ((i + j <= (n + m) * (100 - THRESHOLD) // (100 + THRESHOLD)) | (n == FULL) | (m == FULL))
+
+
+def _pairs_of(packed: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of whole buckets: pairs that may be at the threshold (``a < b``), the
+    bucket's key, and whether they are a bucket's listed pairs.  Of a bucket with
+    too many, each member is returned with the smallest, itself too."""
+    key = packed >> 20
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    count = np.diff(np.append(start, len(key)))
+    out: list[tuple] = []
+    for c in np.unique(count[(count > 1) & (count <= 2 * PER_UNIT)]):
+        i, j = np.triu_indices(c, 1)
+        begin = start[count == c]
+        step = max(1, (1 << 21) // len(i))
+        for x in range(0, len(begin), step):
+            p, q = ((begin[x : x + step, None] + k).ravel() for k in (i, j))
+            ok = _within(packed[p], packed[q])
+            out.append((p[ok], q[ok], True))
+    for begin, c in zip(start[count > 2 * PER_UNIT].tolist(), count[count > 2 * PER_UNIT].tolist(), strict=True):
+        listed: list[tuple] = []
+        many = 0
+        if c <= BUCKET:
+            for x in range(0, c, 256):
+                rows = np.arange(begin + x, begin + min(x + 256, c))
+                i, j = np.nonzero(np.triu(_within(packed[rows][:, None], packed[begin + x : begin + c][None, :]), 1))
+                listed.append((rows[i], begin + x + j, True))
+                many += len(i)
+                if many > PER_UNIT * c:
+                    break
+        if c > BUCKET or many > PER_UNIT * c:
+            every = np.arange(begin, begin + c)
+            listed = [(np.full(c, begin + int(np.argmin(unit[every]))), every, False)]
+        out += listed
+    p, q = (np.concatenate([np.zeros(0, np.int64), *(o[k] for o in out)]) for k in (0, 1))
+    listed = np.concatenate([np.zeros(0, bool), *(np.full(len(o[0]), o[2]) for o in out)])
+    return np.minimum(unit[p], unit[q]), np.maximum(unit[p], unit[q]), key[p], listed
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of entries (``packed, unit``) that come ordered, bucket by bucket."""
+
+    def found(packed: np.ndarray, unit: np.ndarray) -> pa.RecordBatch:
+        a, b, key, listed = _pairs_of(packed, unit)
+        # A pair that shares several keys here is needed once.
+        _, once = np.unique(np.stack([a, b, np.where(listed, 0, key), listed]), axis=1, return_index=True)
+        return pa.RecordBatch.from_arrays([pa.array(a[once]), pa.array(b[once]), pa.array(key[once], mask=listed[once])], ["a", "b", "key"])
+
+    held: list[tuple] = []
+    rows, limit = 0, 1 << 18
+    for batch in batches:
+        held.append(tuple(batch.column(c).to_numpy() for c in ("packed", "unit")))
+        rows += batch.num_rows
+        if rows >= limit:
+            packed, unit = (np.concatenate(x) for x in zip(*held, strict=True))
+            cut = int(np.searchsorted(packed >> 20, packed[-1] >> 20))
+            if cut:
+                yield found(packed[:cut], unit[:cut])
+            held, rows = [(packed[cut:], unit[cut:])], len(packed) - cut
+            limit = max(1 << 18, 2 * rows)
+    if rows:
+        yield found(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+
 def components_of(paragraphs: DataFrame, rows: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``node, component`` of the paragraphs that are near copies of others, and
     the texts of these and of the runs ``asked`` for."""
-    key = F.xxhash64("band", F.expr(f"substring(sig, band * {KEY} + 1, {KEY})"))
-    banded = paragraphs.select("unit", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")).select(key.alias("key"), "unit")
-    shared = banded.groupBy("key").agg(F.min("unit").alias("low"), F.max("unit").alias("high")).where("low <> high").select("key")
-    near = banded.join(shared, "key", "left_semi").select("unit").distinct()
-    first = paragraphs.join(near, "unit", "left_semi").groupBy("unit").agg(F.min(F.struct("doc", "th", "first", "last", "sig")).alias("p"))
-    first = scratch.keep(first.select("unit", "p.*"), "near")
-    texts = scratch.keep(fetched(rows, asked.unionByName(first.select("doc", "th", "first", "last", "unit"))), "texts")
+    one = paragraphs.groupBy("unit").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+    entry = one.select("unit", "n", "keys", F.posexplode(F.sequence(F.lit(1), F.expr(f"length(keys) - {KEY - 1}"), F.lit(KEY))).alias("rank", "at"))
+    entry = entry.withColumn("rank", F.when(F.col("n") < FULL, F.col("rank")).otherwise(0))
+    key = F.shiftleft(F.xxhash64(F.expr(f"substring(keys, at, {KEY})")), 20)
+    low = F.shiftleft(F.least("n", F.lit(FULL)), 10).bitwiseOR(F.col("rank")).cast("long")
+    entry = entry.select(key.bitwiseOR(low).alias("packed"), "unit")
+    dealt = entry.repartition(F.shiftright("packed", 20)).sortWithinPartitions("packed")
+    met = scratch.keep(dealt.mapInArrow(_candidates, "a long, b long, key long"), "met")
+
+    pairs = met.where("key is null").select("a", "b").distinct()
+    hits = met.where("key is not null").select("key", F.col("a").alias("pivot"), F.col("b").alias("doc"))
+    ends = met.select(F.explode(F.array("a", "b")).alias("unit")).distinct()
+    first = paragraphs.join(ends, "unit", "left_semi").groupBy("unit").agg(F.min(F.struct("doc", "th", "first", "last", "n", "even", "odd")).alias("p"))
+    first = scratch.keep(first.select("unit", "p.*"), "met-units")
+    a, b = (first.select([F.col(c).alias(x + c) for c in ("unit", "n", "even", "odd")]) for x in "ab")
+    differ = F.bit_count(F.col("aeven").bitwiseXOR(F.col("beven"))) + F.bit_count(F.col("aodd").bitwiseXOR(F.col("bodd")))
+    both = F.col("an") + F.col("bn")
+    likely = (differ * (100 + THRESHOLD) <= both * (100 - THRESHOLD)) & (100 * F.least("an", "bn") >= THRESHOLD * F.greatest("an", "bn"))
+    pairs = scratch.keep(pairs.withColumnRenamed("a", "aunit").join(a, "aunit").withColumnRenamed("b", "bunit").join(b, "bunit").where(likely).select(F.col("aunit").alias("a"), F.col("bunit").alias("b")), "near-pairs")
+
+    near = pairs.select(F.explode(F.array("a", "b")).alias("unit")).unionByName(hits.select(F.col("doc").alias("unit"))).distinct()
+    near = first.join(near, "unit", "left_semi").select("doc", "th", "first", "last", "unit")
+    texts = scratch.keep(fetched(rows, asked.unionByName(near)), "texts")
+    scratch.forget(first)
     own = texts.where("unit is not null").select(F.col("unit").alias("doc_id"), F.col("words").alias("text"))
-    groups = minhash.linked(first.select(F.col("unit").alias("doc_id"), "sig"), own, SHINGLE, THRESHOLD, BANDS, KEY // 4, settle=False)
-    return scratch.keep(groups, "groups"), texts
+    groups = scratch.keep(minhash.settled(hits, own, SHINGLE, THRESHOLD, also=pairs), "groups")
+    scratch.forget(met, pairs)
+    return groups, texts
 
 
 def agreement(own: list[bytes], first: int, last: int, before: list[bytes], after: list[bytes]) -> tuple[int, int] | None:
@@ -293,9 +459,9 @@ def kept(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     ship.package(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
     rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(int(LAST))).alias("doc"), F.xxhash64("text").alias("th"), "text")
-    units = scratch.keep(rows.select("doc", "th", "text").mapInArrow(_units, UNITS), "paragraphs")
-    paragraphs = units.where("sig is not null")
-    runs = runs_of(units.where("sig is null").drop("sig", "line"))
+    units = scratch.keep(units_of(rows, frequent(rows)), "paragraphs")
+    paragraphs = units.where("keys is not null")
+    runs = runs_of(units.where("keys is null").select("doc", "th", "first", "last", "unit"))
 
     lent = runs.select(F.col("odoc").alias("doc"), F.col("oth").alias("th"), F.col("ofirst").alias("first"), F.col("olast").alias("last"))
     groups, texts = components_of(paragraphs, rows, lent.withColumn("unit", F.lit(None).cast("long")))

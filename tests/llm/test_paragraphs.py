@@ -171,3 +171,77 @@ def test_hot_passages_long_texts_and_extra_columns(spark):
     assert not got[0]["owners"] and got[0]["n_shared"]
     assert all(got[i]["owners"] == [0] and bytes(got[i]["kept"]).decode().split() == texts[i].split()[:30] for i in range(1, 300))
     assert not got[300]["owners"] and got[302]["owners"] == [300] and bytes(got[302]["kept"]).split() == [b"end"]
+
+
+def test_no_link_is_left_out(spark):
+    """Lines at exactly 80 %, and groups whose members are linked through few of
+    them: a line goes whenever the Jaccard of all pairs links it to a smaller id."""
+    rnd = random.Random(11)
+    lines = []
+    for _ in range(250):
+        line = corpus.words(rnd, 49, 10**7)
+        near = list(line)
+        near[rnd.randrange(4, 45)] = "other"
+        lines += [line, near]  # 40 of 50 shingles
+    for _ in range(3):
+        line = corpus.words(rnd, 84, 10**7)
+        group = [list(line) for _ in range(60)]
+        for i, mine in enumerate(group):
+            for at in rnd.sample(range(4, 80), rnd.choice([1, 2])):
+                mine[at] = f"new{i}"
+        lines += [*group, line]
+    rnd.shuffle(lines)
+    sets = [{tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in lines]
+    root = list(range(len(lines)))
+    changed = True
+    linked = [(i, j) for i, s in enumerate(sets) for j, t in enumerate(sets[:i]) if (n := len(s & t)) and 100 * n >= 80 * len(s | t)]
+    while changed:
+        changed = False
+        for i, j in linked:
+            low = min(root[i], root[j])
+            changed |= (root[i], root[j]) != (low, low)
+            root[i] = root[j] = low
+    got = rows(paragraphs.kept(corpus.frame(spark, [f"tail{i}\n{' '.join(x)}" for i, x in enumerate(lines)])))
+    assert {i for i in got if bytes(got[i]["kept"]).split() == [b"tail%d" % i]} == {i for i in range(len(lines)) if root[i] < i}
+
+
+def test_entries_of_a_bucket():
+    """No pair at the threshold is dropped, whatever the size of its buckets."""
+    rnd = random.Random(12)
+    texts = []
+    for _ in range(12):
+        line = corpus.words(rnd, rnd.choice([26, 49, 90, 1200]), 10**7)
+        texts += [" ".join(line)]
+        for _ in range(rnd.choice([1, 3, 90])):
+            texts.append(corpus.edited(rnd, " ".join(line), rnd.choice([0, 0.01, 0.02])) if rnd.random() < 0.7 else " ".join(line[rnd.randrange(6) :]))
+    texts = sorted({x for x in texts})
+    common = paragraphs.Paragraphs([t.encode() for t in texts])
+    value, at = paragraphs.arrays.grams(common.words.hashes(), common.words.text, 5)
+    often = paragraphs.np.unique(paragraphs.ordered(value, None))[::3]
+    for known in (None, (often, paragraphs.np.arange(len(often)) % 3 + 1)):
+        found = paragraphs.Paragraphs([t.encode() for t in texts], known)
+        lines = [i for i in range(len(found.sig)) if found.line[i]]
+        assert [int(found.text[i]) for i in lines] == list(range(len(texts)))
+        start = paragraphs.np.cumsum(found.n_keys) - found.n_keys
+        entries = []
+        for x, i in enumerate(lines):
+            n = int(found.sig[i, 0])
+            for rank, key in enumerate(found.keys[start[i] : start[i] + found.n_keys[i]].tolist()):
+                entries.append((key << 20 | min(n, 1023) << 10 | (rank if n < 1023 else 0), x))
+        packed, unit = (paragraphs.np.array(c, dtype=paragraphs.np.int64) for c in zip(*sorted(entries), strict=True))
+        a, b, key, listed = paragraphs._pairs_of(packed, unit)
+        assert listed.any() and not listed.all()
+        have = {(x, y) for x, y, one in zip(a.tolist(), b.tolist(), listed, strict=True) if one}
+        dense = {}
+        for y, k, one in zip(b.tolist(), key.tolist(), listed, strict=True):
+            if not one:
+                dense.setdefault(k, set()).add(y)
+        words = [t.split() for t in texts]
+        sets = [{tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in words]
+        want = [(i, j) for j, s in enumerate(sets) for i, t in enumerate(sets[:j]) if 100 * len(s & t) >= 80 * len(s | t)]
+        assert len(want) > 20
+        for i, j in want:
+            assert (i, j) in have or any(i in d and j in d for d in dense.values())
+            s, t = (found.sig[lines[x]] for x in (i, j))
+            differ = sum(bin(int(s[h]) ^ int(t[h])).count("1") for h in (1, 2))
+            assert differ * 180 <= 20 * int(s[0] + t[0])
