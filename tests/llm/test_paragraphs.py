@@ -245,3 +245,22 @@ def test_entries_of_a_bucket():
             s, t = (found.sig[lines[x]] for x in (i, j))
             differ = sum(bin(int(s[h]) ^ int(t[h])).count("1") for h in (1, 2))
             assert differ * 180 <= 20 * int(s[0] + t[0])
+
+
+def test_entries_travel_in_slices():
+    """Every key of every paragraph makes one entry, in the row of its slice."""
+    np, pa = paragraphs.np, paragraphs.pa
+    rnd = random.Random(13)
+    sizes = [16, 26, 300, paragraphs.FULL + 200]
+    keys = [[rnd.randrange(1 << 44) for _ in range(n // 5)] for n in sizes] + [[]]
+    rows = {"unit": pa.array([-7, 8, 9, 1 << 62, 5]), "n": pa.array([*sizes, 1], pa.int32()), "keys": [b"".join(k.to_bytes(6, "little") for k in x) for x in keys]}
+    got = []
+    for batch in paragraphs._entries(iter([pa.RecordBatch.from_pydict(rows)] * 2)):
+        assert len(set(batch.column("slice").to_pylist())) == batch.num_rows
+        for part, entries in zip(batch.column("slice").to_pylist(), batch.column("entries").to_pylist(), strict=True):
+            packed, unit = np.frombuffer(entries, "<i8").reshape(-1, 2).T
+            key = (packed >> 20).view(np.uint64) & np.uint64((1 << 44) - 1)
+            assert set((paragraphs.arrays.mix(key) % np.uint64(paragraphs.SLICES)).tolist()) == {part}
+            got += zip(key.tolist(), (packed >> 10 & 1023).tolist(), (packed & 1023).tolist(), unit.tolist(), strict=True)
+    want = [(k, min(n, 1023), i if n < 1023 else 0, u) for u, n, x in zip([-7, 8, 9, 1 << 62], sizes, keys, strict=False) for i, k in enumerate(x)]
+    assert sorted(got) == sorted(want * 2)
