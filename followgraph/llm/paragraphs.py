@@ -28,7 +28,8 @@ document stay.)
 
 Everything but texts travels as narrow rows: hashes and places of words, one
 row for each window and paragraph, so that what is sent grows in proportion to
-the input; hot hashes are combined before the shuffle or split by the join.
+the input; hot hashes are combined before the shuffle or split by the join.  The
+keys of many paragraphs that lie in one of ``SLICES`` travel in one row.
 Texts are read once for the units, once where a place was asked for, and once
 for the removal.
 
